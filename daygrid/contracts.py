@@ -18,6 +18,7 @@ from pyspark.sql.types import (
 )
 
 from daygrid import fixed_values as fixed
+from daygrid.functions.text import sql_quoted
 
 
 def _field(name: str, data_type: DataType, comment: str, required: bool = False) -> StructField:
@@ -92,13 +93,6 @@ def ddl_columns(schema: StructType) -> str:
     return ",\n    ".join(lines)
 
 
-def sql_text(value: str) -> str:
-    """Escape for a single-quoted Spark SQL literal. Backslashes go first, or they would be doubled twice."""
-    for special in ("\\", "'"):
-        value = value.replace(special, "\\" + special)
-    return value
-
-
 def comment_statements(
     table: str, schema: StructType, table_comment: str, stands_in_for: str | None = None
 ) -> list[str]:
@@ -109,11 +103,11 @@ def comment_statements(
     """
     if stands_in_for:
         table_comment = f"Test copy, not kept up to date; use {stands_in_for} instead.\n\n{table_comment}"
-    statements = [f"COMMENT ON TABLE {table} IS '{sql_text(table_comment)}'"]
+    statements = [f"COMMENT ON TABLE {table} IS {sql_quoted(table_comment)}"]
     for field in schema.fields:
         comment = field.metadata.get("comment")
         if comment:
-            statements.append(f"ALTER TABLE {table} ALTER COLUMN {field.name} COMMENT '{sql_text(comment)}'")
+            statements.append(f"ALTER TABLE {table} ALTER COLUMN {field.name} COMMENT {sql_quoted(comment)}")
     return statements
 
 
@@ -137,7 +131,7 @@ def create_table(
     existed = spark.catalog.tableExists(table)
     stored = StructType(schema.fields + (partition_by.fields if partition_by else []))
     partitioning = f" PARTITIONED BY ({', '.join(partition_by.names)})" if partition_by else ""
-    placed = f" LOCATION '{sql_text(location)}'" if location else ""
+    placed = f" LOCATION {sql_quoted(location)}" if location else ""
     columns = ddl_columns(stored)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (\n    {columns}\n) USING {table_format}{partitioning}{placed}")
     if not existed:

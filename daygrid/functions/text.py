@@ -9,21 +9,40 @@ from pyspark.sql import functions as F
 
 from daygrid import fixed_values as fixed
 
-# A plain decimal or exponent number, or an infinity. Java suffixes such as "1.5d", which CAST accepts, do not match.
+# A plain decimal or exponent number, or an infinity. Java forms such as "1.5d" or "0x1p3", which CAST accepts, do not
+# match as a whole.
 NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
 # One CSV field of a line that was given a leading comma: a quoted field or a run of non-commas.
 _QUOTED_OR_PLAIN_FIELD = r',[ ]*("[^"]*(?:""[^"]*)*"|[^,]*)'
 
 
+def sql_quoted(text: str) -> str:
+    """A Spark SQL string literal."""
+    for special in ("\\", "'"):
+        text = text.replace(special, "\\" + special)
+    return f"'{text}'"
+
+
+def sql_list(texts: Iterable[str]) -> str:
+    return ", ".join(sql_quoted(text) for text in texts)
+
+
+def text_array(texts: Iterable[str]) -> Column:
+    return F.expr(f"array({sql_list(texts)})")
+
+
 def lenient_double(text: Column) -> Column:
-    """A double, or NULL where the text is not a number. Never fails, never drops the row."""
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    """A double, or NULL where the text is not a number. Never fails, never drops the row.
+
+    The text is named once: a filter on the result is pushed below the projection and repeats what it is made of.
+    """
+    return F.regexp_substr(text, F.lit(NUMBER_PATTERN)).try_cast("double")
 
 
-def missing_to_null(text: Column, tokens: Iterable[str] = fixed.NA_TOKENS) -> Column:
-    """NULL where the field holds one of the words that mean "missing"; any other text is kept as it is."""
-    return F.when(~text.isin(*tokens), text)
+def missing_to_null(text: str, tokens: Iterable[str] = fixed.NA_TOKENS) -> str:
+    """SQL for: NULL where the field holds one of the words that mean "missing"; any other text as it is."""
+    return f"CASE WHEN {text} NOT IN ({sql_list(tokens)}) THEN {text} END"
 
 
 def csv_fields(line: Column) -> Column:

@@ -82,65 +82,45 @@ def first_missing_date_by_window(
 # --- block form --------------------------------------------------------------------------------------------------
 
 
-def _day_number(day: Column) -> Column:
-    return F.unix_date(day).cast("long")
+def _block(day: str) -> str:
+    return f"CAST(floor(unix_date({day}) / {DAYS_PER_BLOCK}) AS INT)"
 
 
-def _block(day_number: Column) -> Column:
-    return F.floor(day_number / DAYS_PER_BLOCK)
-
-
-def _bit(position: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), position.cast("int"))
-
-
-def _lowest_bit(mask: Column) -> Column:
-    return F.bit_count(mask.bitwiseAND(-mask) - 1)
-
-
-def _highest_bit(mask: Column) -> Column:
-    return F.length(F.bin(mask)) - 1
+def _bit(position: str) -> str:
+    return f"shiftleft(1L, {position})"
 
 
 def missing_blocks(ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day: str = "date") -> DataFrame:
     """``key, block, missing``: a mask of the missing days of every block that has any."""
-    first, last = _day_number(F.col("start_date")), _day_number(F.col("end_date"))
-    spine = (
-        ranges.where(F.col("start_date") <= F.col("end_date"))
-        .select(key, first.alias("first"), last.alias("last"))
-        .select(key, "first", "last", F.explode(F.sequence(_block(F.col("first")), _block(F.col("last")))).alias("block"))
-    )
-    block_start = F.col("block") * DAYS_PER_BLOCK
-    low = F.greatest(F.col("first") - block_start, F.lit(0))
-    high = F.least(F.col("last") - block_start, F.lit(DAYS_PER_BLOCK - 1))
-    wanted = spine.select(
-        key, "block", (_bit(high + 1) - _bit(low)).alias("wanted"), F.lit(0).cast("long").alias("present")
-    )
-    number = _day_number(F.col(day))
-    have = stored.where(F.col(key).isNotNull() & F.col(day).isNotNull()).select(
-        key,
-        _block(number).alias("block"),
-        F.lit(0).cast("long").alias("wanted"),
-        _bit(F.pmod(number, F.lit(DAYS_PER_BLOCK))).alias("present"),
+    spine = ranges.where("start_date <= end_date").selectExpr(
+        f"`{key}`",
+        "unix_date(start_date) AS first",
+        "unix_date(end_date) AS last",
+        f"explode(sequence({_block('start_date')}, {_block('end_date')})) AS block",
     )
-    merged = (
-        wanted.unionByName(have).groupBy(key, "block").agg(F.bit_or("wanted").alias("w"), F.bit_or("present").alias("p"))
+    low = f"greatest(first - block * {DAYS_PER_BLOCK}, 0)"
+    high = f"least(last - block * {DAYS_PER_BLOCK}, {DAYS_PER_BLOCK - 1})"
+    wanted = spine.selectExpr(f"`{key}`", "block", f"{_bit(f'{high} + 1')} - {_bit(low)} AS wanted", "0L AS present")
+    have = stored.where(f"`{key}` IS NOT NULL AND `{day}` IS NOT NULL").selectExpr(
+        f"`{key}`",
+        f"{_block(f'`{day}`')} AS block",
+        "0L AS wanted",
+        f"{_bit(f'pmod(unix_date(`{day}`), {DAYS_PER_BLOCK})')} AS present",
     )
-    missing = F.col("w").bitwiseAND(F.bitwise_not("p"))
-    return merged.select(key, "block", missing.alias("missing")).where(F.col("missing") != 0)
+    merged = wanted.union(have).groupBy(key, "block").agg(F.expr("bit_or(wanted) & ~bit_or(present)").alias("missing"))
+    return merged.where("missing <> 0")
 
 
 def gap_report(ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day: str = "date") -> DataFrame:
     """Keys with missing days: how many, the earliest and the latest. Keys without any do not appear."""
-    start = F.col("block") * DAYS_PER_BLOCK
-    as_date = lambda number: F.date_from_unix_date(number.cast("int"))
+    lowest_bit, highest_bit = "bit_count((missing & -missing) - 1)", "length(bin(missing)) - 1"
     return (
         missing_blocks(ranges, stored, key, day)
         .groupBy(key)
         .agg(
-            F.sum(F.bit_count("missing")).alias("missing_date_count"),
-            as_date(F.min(start + _lowest_bit(F.col("missing")))).alias("earliest_gap"),
-            as_date(F.max(start + _highest_bit(F.col("missing")))).alias("latest_gap"),
+            F.expr("sum(bit_count(missing))").alias("missing_date_count"),
+            F.expr(f"date_from_unix_date(min(block * {DAYS_PER_BLOCK} + {lowest_bit}))").alias("earliest_gap"),
+            F.expr(f"date_from_unix_date(max(block * {DAYS_PER_BLOCK} + {highest_bit}))").alias("latest_gap"),
         )
     )
 

@@ -146,10 +146,10 @@ def failure_cutoff(
     )
 
 
-def run_summary(outcomes: DataFrame, succeeded: Column, rows: Column) -> DataFrame:
-    """Totals of a run: locations, how many failed, rows upserted."""
+def run_summary(outcomes: DataFrame, failed: Column, rows: Column) -> DataFrame:
+    """Totals of a run: locations, how many failed, rows upserted (NULL or 0 where a location stored none)."""
     return outcomes.agg(
         F.count(F.lit(1)).alias("locations"),
-        F.count_if(~succeeded).alias("failed_locations"),
-        F.coalesce(F.sum(F.when(succeeded, rows)), F.lit(0)).alias("rows_upserted"),
+        F.count_if(failed).alias("failed_locations"),
+        F.coalesce(F.sum(rows), F.lit(0)).alias("rows_upserted"),
     )

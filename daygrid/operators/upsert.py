@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from daygrid.contracts import enforce_not_null
+from daygrid.functions.text import sql_quoted
 from daygrid.session import delete_work_folder, new_work_folder
 
 KEYS = ("cell_key", "date")
+REPEATED_KEY = "upsert source holds a key more than once"
 
 
 def run_time(run_ts: datetime | Column | None) -> Column:
@@ -25,19 +27,23 @@ def run_time(run_ts: datetime | Column | None) -> Column:
     return run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
 
 
-def _one_row_per_key(source: DataFrame, keys: Sequence[str], data: Sequence[str]) -> DataFrame:
-    """Pack the data columns into one struct per key and fail the job on a key that comes twice.
+def repeated_keys(source: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Keys that come more than once. Reads key columns only and combines on the map side."""
+    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+
+
+def _packed(source: DataFrame, keys: Sequence[str], data: Sequence[str], check_keys: bool) -> DataFrame:
+    """The data columns as one struct per key, failing the job on a key that comes twice.
 
     The count combines on the map side, so even a key that comes a billion times reaches its reducer as a few rows.
     """
-    packed = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_copies"), F.any_value(F.struct(*data)).alias("_incoming")
-    )
+    row = F.struct(*data)
+    if not check_keys:
+        return source.select(*keys, row.alias("_incoming"))
+    counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), F.any_value(row).alias("_row"))
     shown = F.concat_ws(", ", *[F.coalesce(F.col(key).cast("string"), F.lit("NULL")) for key in keys])
-    failure = F.raise_error(F.concat(F.lit("upsert source holds a key more than once: "), shown))
-    return packed.select(
-        *keys, F.when(F.col("_copies") == 1, F.col("_incoming")).otherwise(failure).alias("_incoming")
-    )
+    failure = F.raise_error(F.concat(F.lit(f"{REPEATED_KEY}: "), shown))
+    return counted.select(*keys, F.when(F.col("_copies") == 1, F.col("_row")).otherwise(failure).alias("_incoming"))
 
 
 def upsert(
@@ -48,6 +54,7 @@ def upsert(
     created: str = "created_at",
     updated: str = "updated_at",
     absent: str | None = None,
+    check_keys: bool = True,
 ) -> DataFrame:
     """The target after the upsert, with the target's columns.
 
@@ -57,7 +64,8 @@ def upsert(
     delivery did not have; they count as columns the source lacks, for that row.
 
     A match is told by the packed row itself being there, not by any of its values, so an incoming NULL overwrites.
-    The aggregate that checks the keys and the join share one partitioning of the source.
+    A key that comes twice in the source fails the job; ``check_keys=False`` is for a source known to be unique, whose
+    wide rows then go straight to the join. Otherwise the aggregate that checks shares its partitioning with the join.
     """
     data = [name for name in source.columns if name not in (*keys, created, updated, absent)]
     unknown = [name for name in (*keys, *data) if name not in target.columns]
@@ -66,25 +74,25 @@ def upsert(
         raise ValueError(f"upsert columns unknown to the target: {unknown}; keys absent from the source: {unkeyed}")
 
     stored = target.select(*keys, F.struct(*[name for name in target.columns if name not in keys]).alias("_stored"))
-    packed = _one_row_per_key(source, keys, [*data, absent] if absent else data)
-    joined = stored.join(packed, list(keys), "full_outer")
-    arrives, exists, now = F.col("_incoming").isNotNull(), F.col("_stored").isNotNull(), run_time(run_ts)
+    packed = _packed(source, keys, [*data, absent] if absent else data, check_keys)
+    joined = stored.join(packed, list(keys), "full_outer").withColumn("_now", run_time(run_ts))
 
-    def result(name: str) -> Column:
-        old = F.col(f"_stored.{name}")
+    def result(name: str) -> str:
         if name in keys:
-            return F.col(name)
+            return f"`{name}`"
         if name == created:
-            return F.when(exists, old).otherwise(now).alias(name)
+            return f"CASE WHEN _stored IS NOT NULL THEN _stored.`{name}` ELSE _now END AS `{name}`"
         if name == updated:
-            return F.when(arrives, now).otherwise(old).alias(name)
-        if name in data:
-            new = F.col(f"_incoming.{name}").cast(target.schema[name].dataType)
-            taken = arrives & ~F.array_contains(f"_incoming.{absent}", name) if absent else arrives
-            return F.when(taken, new).otherwise(old).alias(name)
-        return old.alias(name)
+            return f"CASE WHEN _incoming IS NOT NULL THEN _now ELSE _stored.`{name}` END AS `{name}`"
+        if name not in data:
+            return f"_stored.`{name}` AS `{name}`"
+        taken = "_incoming IS NOT NULL"
+        if absent:
+            taken += f" AND NOT array_contains(_incoming.`{absent}`, {sql_quoted(name)})"
+        new = f"CAST(_incoming.`{name}` AS {target.schema[name].dataType.simpleString()})"
+        return f"CASE WHEN {taken} THEN {new} ELSE _stored.`{name}` END AS `{name}`"
 
-    return joined.select(*[result(name) for name in target.columns])
+    return joined.selectExpr(*[result(name) for name in target.columns])
 
 
 @dataclass(frozen=True)
@@ -153,15 +161,21 @@ def merge_staged(
     partition_by: PartitionBy | None = None,
     absent: str | None = None,
 ) -> int:
-    """Steps 2 and 3 of ``upsert_table`` for rows that are stored already; returns the number of partitions touched."""
+    """Steps 2 and 3 of ``upsert_table`` for rows that are stored already; returns the number of partitions touched.
+
+    Stored rows are cheap to look at twice, so the keys are checked from their own columns before the wide rows move.
+    """
     partition_by = partition_by or PartitionBy()
     names = list(partition_by.columns)
     incoming = partition_by.add_to(incoming)
+    repeated = repeated_keys(incoming, keys).first()
+    if repeated is not None:
+        raise ValueError(f"{REPEATED_KEY}: {', '.join(str(repeated[key]) for key in keys)}")
     touched = [tuple(row) for row in incoming.select(*names).distinct().collect()]
     if not touched:
         return 0
     target = spark.table(table).where(_any_partition(names, touched))
-    merged = upsert(target, incoming, [*keys, *names], run_ts, absent=absent).hint("rebalance", *names)
+    merged = upsert(target, incoming, [*keys, *names], run_ts, absent=absent, check_keys=False).hint("rebalance", *names)
     with _overwriting_only_written_partitions(spark):
         merged.sortWithinPartitions(*names, *keys).write.insertInto(table, overwrite=True)
     return len(touched)

@@ -14,7 +14,7 @@ from daygrid.contracts import OBSERVATION_SCHEMA, create_table
 from daygrid.operators import gaps
 from daygrid.operators.mapping import grid_cells
 from daygrid.operators.outcomes import ACCEPTED, fetch_outcomes, run_summary
-from daygrid.operators.upsert import KEYS, PartitionBy, merge_staged
+from daygrid.operators.upsert import KEYS, PartitionBy, merge_staged, repeated_keys
 from daygrid.session import delete_work_folder, new_work_folder
 from daygrid.sources import responses
 
@@ -108,7 +108,7 @@ def load_records(
 
     data = [name for name in OBSERVATION_SCHEMA.names if name not in (*KEYS, *_STAMPS)] + ["absent"]
     incoming = responses.accepted(parsed)
-    if newest_by:
+    if newest_by and repeated_keys(incoming).first() is not None:
         newest = F.max(F.struct(newest_by, *data)).alias("newest")
         incoming = incoming.groupBy(*KEYS).agg(newest).select(*KEYS, *[f"newest.{name}" for name in data])
     else:
@@ -121,10 +121,9 @@ def load_records(
         .groupBy("cell_key")
         .agg(F.sum("stored").alias("stored"), F.max("refused").alias("refused"))
     )
-    totals = run_summary(per_location, F.col("refused") == 0, F.col("stored")).first()
-    stored = per_location.agg(F.coalesce(F.sum("stored"), F.lit(0))).first()[0]
+    totals = run_summary(per_location, F.col("refused") > 0, F.col("stored")).first()
     delete_work_folder(spark, parsed_at)
-    return LoadResult(stored, totals["locations"], totals["failed_locations"], failed)
+    return LoadResult(totals["rows_upserted"], totals["locations"], totals["failed_locations"], failed)
 
 
 def load_landed_files(

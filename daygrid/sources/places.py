@@ -31,6 +31,8 @@ def type_places(lines: DataFrame) -> DataFrame:
     require_columns(lines, fixed.PLACE_COLUMNS, "places")
     typed = {}
     for field in PLACE_SCHEMA.fields:
-        delivered = missing_to_null(F.col(field.name))
-        typed[field.name] = F.trim(delivered) if field.dataType.typeName() == "string" else lenient_double(delivered)
+        if field.dataType.typeName() == "string":
+            typed[field.name] = F.trim(F.expr(missing_to_null(field.name)))
+        else:
+            typed[field.name] = lenient_double(F.col(field.name))  # words for "missing" are not numbers either
     return conform(lines.withColumns(typed), PLACE_SCHEMA)

@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from daygrid import fixed_values as fixed
 from daygrid.contracts import require_columns
-from daygrid.functions.text import csv_fields, has_open_quote, lenient_double, missing_to_null
+from daygrid.functions.text import csv_fields, has_open_quote, lenient_double, missing_to_null, sql_list, text_array
 
 # Largest landed file that is read as one row. Larger files are read line by line.
 WHOLE_FILE_BYTES = 32 * 1024 * 1024
@@ -52,25 +52,21 @@ def _header_names(header_line: Column) -> Column:
 
 def _header_problem(header_line: Column, required: Sequence[str]) -> Column:
     names = F.transform(F.split(header_line, ","), lambda name: F.trim(name))
-    lacking = F.array_except(_names_array(required), names)
+    lacking = F.array_except(text_array(required), names)
     return F.when(header_line.isNull(), NO_CONTENT).when(F.size(lacking) > 0, NO_HEADER)
 
 
-def _names_array(names: Sequence[str]) -> Column:
-    return F.array(*[F.lit(name) for name in names])
-
-
 def _unknown_problem(names: Column, wanted: Sequence[str], ignored: Sequence[str]) -> Column:
     """A column the target does not have would be lost without a word, so the response is refused."""
-    unknown = F.array_except(names, _names_array([*wanted, *ignored]))
+    unknown = F.array_except(names, text_array([*wanted, *ignored]))
     return F.when(F.size(unknown) > 0, F.concat(F.lit(UNKNOWN_COLUMN), F.array_join(unknown, ", ")))
 
 
 def _layout(names: Column, wanted: Sequence[str]) -> list[Column]:
     """``positions``: zero-based place of each wanted column, -1 where there is none. ``absent``: those without one."""
-    places = [F.coalesce(F.array_position(names, F.lit(name)), F.lit(0)) - 1 for name in wanted]
-    absent = F.array_except(_names_array(wanted), names)
-    return [F.array(*places).alias("positions"), absent.alias("absent")]
+    columns = text_array(wanted)
+    positions = F.transform(columns, lambda name: F.coalesce(F.array_position(names, name), F.lit(0)) - 1)
+    return [positions.alias("positions"), F.array_except(columns, names).alias("absent")]
 
 
 def judge_bodies(
@@ -231,31 +227,25 @@ def normalise(
     reason in ``problem``; use ``accepted`` and ``refused`` to part them.
     """
     require_columns(records, _RECORD, "records")
-    keep = [name for name in records.columns if name not in _RECORD]
-    stored_names = F.create_map(*[F.lit(text) for pair in renames.items() for text in pair])
-    absent = F.transform("absent", lambda name: F.coalesce(F.element_at(stored_names, name), name))
+    keep = [f"`{name}`" for name in records.columns if name not in _RECORD]
+    stored = [renames.get(name, name) for name in wanted]
+    pairs = sql_list(text for pair in renames.items() for text in pair)
+    absent = f"transform(absent, name -> coalesce(element_at(map({pairs}), name), name))" if renames else "absent"
     values = [
-        missing_to_null(F.get("fields", F.get("positions", F.lit(i)))).alias(renames.get(name, name))
-        for i, name in enumerate(wanted)
+        f"{missing_to_null(f'get(fields, get(positions, {i}))', na_tokens)} AS `{name}`"
+        for i, name in enumerate(stored)
     ]
-    delivered = records.select(
-        *keep, "problem", F.when(F.size("absent") > 0, absent).otherwise(F.col("absent")).alias("absent"), *values
+    # Most responses lack nothing; an empty list needs no renaming.
+    delivered = records.selectExpr(
+        *keep, "problem", f"CASE WHEN size(absent) > 0 THEN {absent} ELSE absent END AS absent", *values
     )
     dated = delivered.where(F.col("problem").isNotNull() | F.col(date_column).isNotNull())
-    day = F.try_to_date(F.col(date_column), "yyyy-MM-dd")
-    typed = {name: lenient_double(F.col(name)) for name in number_columns if name in delivered.columns}
-    bad_number = [F.when(F.col(name).isNotNull() & typed[name].isNull(), f"unreadable {name}") for name in typed]
-    return dated.withColumns(
-        {
-            "problem": F.coalesce(
-                F.col("problem"),
-                F.when(F.col(date_column).isNotNull() & day.isNull(), f"unreadable {date_column}"),
-                *bad_number,
-            ),
-            date_column: day,
-            **typed,
-        }
-    )
+    typed = {name: lenient_double(F.col(name)) for name in number_columns if name in stored}
+    typed[date_column] = F.try_to_date(F.col(date_column), "yyyy-MM-dd")
+    unreadable = [
+        F.when(F.col(name).isNotNull() & value.isNull(), f"unreadable {name}") for name, value in typed.items()
+    ]
+    return dated.withColumns({"problem": F.coalesce("problem", *unreadable), **typed})
 
 
 def accepted(observations: DataFrame) -> DataFrame:

@@ -20,8 +20,9 @@ SELECT CASE WHEN o_custkey % 53 <> 0 THEN ' c' || CAST(o_custkey AS STRING) || '
        CASE WHEN o_orderkey % 59 <> 0 THEN ' stop ' || o_orderpriority END AS place_name,
        o_orderstatus AS state,
        CASE WHEN o_custkey % 47 = 0 THEN 'not-a-number'
-            ELSE CAST(CAST(-460000 + (o_custkey * 7919) % 380000 AS DOUBLE) / 10000 AS STRING) END AS latitude,
-       CAST(CAST(1100000 + (o_custkey * 104729) % 460000 AS DOUBLE) / 10000 AS STRING) AS longitude
+            ELSE '-' || CAST(8 + (o_custkey * 79) % 38 AS STRING) || '.' || CAST(1000 + (o_custkey * 7919) % 9000 AS STRING)
+            END AS latitude,
+       CAST(110 + (o_custkey * 131) % 46 AS STRING) || '.' || CAST(1000 + (o_custkey * 104729) % 9000 AS STRING) AS longitude
 FROM {orders}
 """
 

@@ -454,4 +454,5 @@ def run_summary(spark, folder):
     attempts = for_spark(spark, folder, "attempts")
     lines = attempts.groupBy("request").agg(F.count(F.lit(1)).alias("lines"))
     judged = outcomes.fetch_outcomes(attempts, ["request"]).join(lines, "request")
-    return outcomes.run_summary(judged, F.col("outcome") == outcomes.ACCEPTED, F.col("lines"))
+    done = F.col("outcome") == outcomes.ACCEPTED
+    return outcomes.run_summary(judged, ~done, F.when(done, F.col("lines")))
