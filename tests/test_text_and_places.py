@@ -69,7 +69,7 @@ def test_csv_fields_agree_with_a_csv_reader(spark, rows):
     for row in rows:
         quoted = ['"' + cell.replace('"', '""') + '"' if set(cell) & set(' ,"') else cell for cell in row]
         lines.append(",".join(quoted))
-    expected = [next(csv.reader([line], skipinitialspace=True), [""]) for line in lines]
+    expected = [next(csv.reader([line], skipinitialspace=True)) or [""] for line in lines]
     assert fields_of(spark, lines) == expected
 
 
