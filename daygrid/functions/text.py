@@ -37,7 +37,7 @@ def lenient_double(text: Column) -> Column:
 
     The text is named once: a filter on the result is pushed below the projection and repeats what it is made of.
     """
-    return F.regexp_substr(text, F.lit(NUMBER_PATTERN)).try_cast("double")
+    return F.regexp_extract(text, NUMBER_PATTERN, 0).try_cast("double")
 
 
 def missing_to_null(text: str, tokens: Iterable[str] = fixed.NA_TOKENS) -> str:
@@ -51,7 +51,7 @@ def csv_fields(line: Column) -> Column:
     Leading spaces of a field are skipped and trailing ones kept; a quoted field may hold commas, and ``""`` inside it
     is one quote. Lines without a quote take the cheap split.
     """
-    plain = F.transform(F.split(line, ",", -1), lambda field: F.ltrim(field))
+    plain = F.split(F.ltrim(F.regexp_replace(line, ", +", ",")), ",", -1)
     quoted = F.transform(
         F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_QUOTED_OR_PLAIN_FIELD), F.lit(1)),
         lambda field: F.when(

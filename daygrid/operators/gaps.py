@@ -7,8 +7,8 @@ Three forms of one question. They give equal results; they differ in how many ro
   and a key's work is spread over its blocks. Nothing is joined, windowed or broadcast.
 * *window*: ``lead`` over the distinct stored days of a key. One row per stored day; a key's partition is bounded by the
   calendar, as duplicates are gone before the window.
-* *spine*: one row per key and day, anti-joined to what is stored. The readable definition, and the only form that lists
-  each missing day; it generates keys x days rows.
+* *spine*: one row per key and day, anti-joined to what is stored. The readable definition; it generates and shuffles
+  keys x days rows.
 """
 
 from __future__ import annotations
@@ -42,7 +42,9 @@ def date_spine(ranges: DataFrame, key: str = "cell_key") -> DataFrame:
     return valid.select(key, F.explode(days).alias("date"))
 
 
-def missing_days(ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day: str = "date") -> DataFrame:
+def missing_days_by_spine(
+    ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day: str = "date"
+) -> DataFrame:
     """Every (key, date) of the spine without a stored row.
 
     Stored days are made distinct first: many rows of one (key, date) would otherwise all travel to one task.
@@ -54,7 +56,7 @@ def missing_days(ranges: DataFrame, stored: DataFrame, key: str = "cell_key", da
 def first_missing_date_by_spine(
     ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day: str = "date"
 ) -> DataFrame:
-    return missing_days(ranges, stored, key, day).groupBy(key).agg(F.min("date").alias("first_missing_date"))
+    return missing_days_by_spine(ranges, stored, key, day).groupBy(key).agg(F.min("date").alias("first_missing_date"))
 
 
 # --- window form -------------------------------------------------------------------------------------------------
@@ -125,6 +127,13 @@ def gap_report(ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day:
     )
 
 
+def missing_days(ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day: str = "date") -> DataFrame:
+    """Every (key, date) without a stored row, unpacked from the masks: rows appear for missing days only."""
+    bits = f"filter(sequence(0, {DAYS_PER_BLOCK - 1}), bit -> missing & {_bit('bit')} <> 0)"
+    unpacked = missing_blocks(ranges, stored, key, day).selectExpr(f"`{key}`", "block", f"explode({bits}) AS bit")
+    return unpacked.selectExpr(f"`{key}`", f"date_from_unix_date(block * {DAYS_PER_BLOCK} + bit) AS date")
+
+
 def first_missing_date(ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day: str = "date") -> DataFrame:
     """First day without a stored row, per key that has one."""
     return gap_report(ranges, stored, key, day).select(key, F.col("earliest_gap").alias("first_missing_date"))

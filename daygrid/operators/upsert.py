@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +12,19 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from daygrid.contracts import enforce_not_null
 from daygrid.functions.text import sql_quoted
-from daygrid.session import delete_work_folder, new_work_folder
+from daygrid.session import delete_work_folder, new_work_folder, settings
 
 KEYS = ("cell_key", "date")
 REPEATED_KEY = "upsert source holds a key more than once"
 
+# Inserting into a table takes the overwrite mode from the session, not from the writer. The second setting is the
+# HotSpot limit above which a method is never compiled: a wide row's generated code passes it, and Spark then does
+# better with several smaller methods.
+_WRITE_SETTINGS = {
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 
 def run_time(run_ts: datetime | Column | None) -> Column:
     """The run's timestamp: one value for the whole run, or the query's own start time."""
@@ -174,30 +180,22 @@ def merge_staged(
     touched = [tuple(row) for row in incoming.select(*names).distinct().collect()]
     if not touched:
         return 0
-    target = spark.table(table).where(_any_partition(names, touched))
+    target = _partitions(spark, table, names, touched)
     merged = upsert(target, incoming, [*keys, *names], run_ts, absent=absent, check_keys=False).hint("rebalance", *names)
-    with _overwriting_only_written_partitions(spark):
+    with settings(spark, _WRITE_SETTINGS):
         merged.sortWithinPartitions(*names, *keys).write.insertInto(table, overwrite=True)
     return len(touched)
 
 
-@contextmanager
-def _overwriting_only_written_partitions(spark: SparkSession) -> Iterator[None]:
-    """Dynamic partition overwrite. Inserting into a table takes the mode from the session, not from the writer."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
-def _any_partition(names: Sequence[str], touched: list[tuple]) -> Column:
+def _partitions(spark: SparkSession, table: str, names: Sequence[str], touched: list[tuple]) -> DataFrame:
+    """Rows of the listed partitions. Values per column prune the directories; combinations are then matched exactly."""
+    rows = spark.table(table)
+    for name, values in zip(names, zip(*touched, strict=True), strict=True):
+        rows = rows.where(F.col(name).isin(*set(values)))
     if len(names) == 1:
-        return F.col(names[0]).isin(*[values[0] for values in touched])
-    each = [reduce(Column.__and__, [F.col(n) == v for n, v in zip(names, values, strict=True)]) for values in touched]
-    return reduce(Column.__or__, each)
+        return rows
+    listed = spark.createDataFrame(touched, ", ".join(f"{name} string" for name in names))
+    return rows.join(listed, list(names), "left_semi")
 
 
 def replace_table(df: DataFrame, table: str, required: Sequence[str]) -> int:

@@ -24,11 +24,12 @@ def build_mapping_table(
     grid: Grid = Grid(),
     backfill_from: date = fixed.BACKFILL_START,
     stands_in_for: str | None = None,
+    location: str | None = None,
 ) -> int:
     """Rebuild ``table`` from the places at ``places_path``; returns its row count.
 
     One job reads, maps and writes; the count comes with the write.
     """
-    create_table(spark, table, MAPPING_SCHEMA, TABLE_COMMENT, stands_in_for=stands_in_for)
+    create_table(spark, table, MAPPING_SCHEMA, TABLE_COMMENT, stands_in_for=stands_in_for, location=location)
     mapping = place_cell_mapping(read_places(spark, places_path), grid, backfill_from)
     return replace_table(mapping, table, required_columns(MAPPING_SCHEMA))

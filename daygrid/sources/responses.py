@@ -38,7 +38,11 @@ IGNORED = ("metadata",)
 
 _RECORD = ("positions", "absent", "fields", "problem")
 
-_LINE_END = r"\r\n|\r|\n"
+
+
+def _content_lines(body: Column) -> Column:
+    one_ending = F.replace(F.replace(body, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return F.filter(F.split(one_ending, "\n"), _is_content)
 
 
 def _is_content(line: Column) -> Column:
@@ -73,7 +77,7 @@ def judge_bodies(
     bodies: DataFrame, body: str = "body", required: Sequence[str] = fixed.REQUIRED_RESPONSE_HEADERS
 ) -> DataFrame:
     """Add ``header_line`` (first content line) and ``problem`` (NULL when the response may be parsed)."""
-    first_line = F.get(F.filter(F.split(F.col(body), _LINE_END), _is_content), F.lit(0))
+    first_line = F.get(_content_lines(F.col(body)), F.lit(0))
     judged = bodies.withColumn("header_line", first_line)
     return judged.withColumn("problem", _header_problem(F.col("header_line"), required))
 
@@ -87,13 +91,15 @@ def split_bodies(
 ) -> DataFrame:
     """One record per data line of each good response; one valueless record per bad response."""
     keep = [name for name in bodies.columns if name != body]
-    content = bodies.select(*keep, F.filter(F.split(F.col(body), _LINE_END), _is_content).alias("content"))
+    content = bodies.select(
+        *keep, _content_lines(F.col(body)).alias("content"), F.contains(body, F.lit('"')).alias("quoted")
+    )
     headed = content.withColumn("header_line", F.get("content", F.lit(0)))
     parsed = headed.select(
         *keep,
         _header_names(F.col("header_line")).alias("names"),
         _header_problem(F.col("header_line"), required).alias("header_problem"),
-        F.exists("content", has_open_quote).alias("open_quote"),
+        (F.col("quoted") & F.exists("content", has_open_quote)).alias("open_quote"),
         F.transform(F.slice("content", F.lit(2), F.greatest(F.size("content"), F.lit(1))), csv_fields).alias("lines"),
     )
     judged = parsed.select(
@@ -231,21 +237,20 @@ def normalise(
     stored = [renames.get(name, name) for name in wanted]
     pairs = sql_list(text for pair in renames.items() for text in pair)
     absent = f"transform(absent, name -> coalesce(element_at(map({pairs}), name), name))" if renames else "absent"
-    values = [
-        f"{missing_to_null(f'get(fields, get(positions, {i}))', na_tokens)} AS `{name}`"
-        for i, name in enumerate(stored)
-    ]
-    # Most responses lack nothing; an empty list needs no renaming.
-    delivered = records.selectExpr(
-        *keep, "problem", f"CASE WHEN size(absent) > 0 THEN {absent} ELSE absent END AS absent", *values
-    )
-    dated = delivered.where(F.col("problem").isNotNull() | F.col(date_column).isNotNull())
+    day = missing_to_null(f"get(fields, get(positions, {stored.index(date_column)}))", na_tokens)
+    dated = records.where(f"problem IS NOT NULL OR {day} IS NOT NULL")
+    # One array in the wanted order per row; the columns are then plain picks, and generated code stays small however
+    # many there are. Most responses lack nothing, and an empty list needs no renaming.
+    in_order = f"transform(positions, at -> {missing_to_null('get(fields, at)', na_tokens)}) AS value"
+    absent = f"CASE WHEN size(absent) > 0 THEN {absent} ELSE absent END AS absent"
+    picks = [f"get(value, {i}) AS `{name}`" for i, name in enumerate(stored)]
+    delivered = dated.selectExpr(*keep, "problem", absent, in_order).selectExpr(*keep, "problem", "absent", *picks)
     typed = {name: lenient_double(F.col(name)) for name in number_columns if name in stored}
     typed[date_column] = F.try_to_date(F.col(date_column), "yyyy-MM-dd")
     unreadable = [
         F.when(F.col(name).isNotNull() & value.isNull(), f"unreadable {name}") for name, value in typed.items()
     ]
-    return dated.withColumns({"problem": F.coalesce("problem", *unreadable), **typed})
+    return delivered.withColumns({"problem": F.coalesce("problem", *unreadable), **typed})
 
 
 def accepted(observations: DataFrame) -> DataFrame:

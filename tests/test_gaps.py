@@ -30,8 +30,9 @@ def check_all_forms(spark, ranges, stored):
     expected = brute_force(ranges, stored)
     report = {r.cell_key: tuple(r)[1:] for r in gaps.gap_report(wanted, have).collect()}
     assert report == {key: (len(days), days[0], days[-1]) for key, days in expected.items()}
-    listed = sorted((r.cell_key, r.date) for r in gaps.missing_days(wanted, have).collect())
-    assert listed == sorted((key, day) for key, days in expected.items() for day in days)
+    for form in (gaps.missing_days, gaps.missing_days_by_spine):
+        listed = sorted((r.cell_key, r.date) for r in form(wanted, have).collect())
+        assert listed == sorted((key, day) for key, days in expected.items() for day in days), form.__name__
     first = {key: days[0] for key, days in expected.items()}
     for form in (gaps.first_missing_date, gaps.first_missing_date_by_window, gaps.first_missing_date_by_spine):
         assert {r.cell_key: r.first_missing_date for r in form(wanted, have).collect()} == first, form.__name__

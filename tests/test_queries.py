@@ -11,7 +11,16 @@ from tests.comparison import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
 # These write files or tables while the query is built; their plans are those of a plain scan.
-WRITERS = {"places_csv", "landed_files", "landed_files_by_line", "obs_upsert_table", "daily_load"}
+WRITERS = {
+    "places_csv",
+    "mapping_table",
+    "landed_files",
+    "landed_files_by_line",
+    "obs_upsert_table",
+    "daily_load",
+    "landed_load",
+    "streamed_load",
+}
 
 
 @pytest.fixture(scope="module")

@@ -156,6 +156,12 @@ SELECT user_id, CAST(ts AS DATE) AS day, MAX(CAST(FLOOR(value) AS INT)) AS peak,
 FROM {events} GROUP BY user_id, CAST(ts AS DATE)
 """
 
+# Daily totals per event type, for loads from landed files.
+INPUTS["type_totals"] = """
+SELECT event_type AS cell_key, CAST(ts AS DATE) AS day, MAX(CAST(FLOOR(value) AS INT)) AS peak, COUNT(*) AS events
+FROM {events} GROUP BY event_type, CAST(ts AS DATE)
+"""
+
 
 def for_duckdb(name: str) -> str:
     """The input as a parenthesised subquery over DuckDB's registered views."""

@@ -9,6 +9,7 @@ parts, observations = for_duckdb("part_mapping"), for_duckdb("observations")
 target, source = for_duckdb("upsert_target"), for_duckdb("upsert_source")
 attempts, run_log, bodies = for_duckdb("attempts"), for_duckdb("run_log"), for_duckdb("bodies")
 response_parts, daily = for_duckdb("response_parts"), for_duckdb("daily_values")
+type_totals = for_duckdb("type_totals")
 
 ORACLE: dict[str, str] = {}
 
@@ -49,6 +50,7 @@ mapping = f"""(SELECT *, {_distance("latitude", "longitude", "cell_lat", "cell_l
 
 ORACLE["place_cell_mapping"] = f"""SELECT place_id, place_name, state, latitude AS place_lat, longitude AS place_lon,
     cell_lat, cell_lon, cell_key, distance, CAST(backfill_from_date AS VARCHAR) AS backfill_from_date FROM {mapping}"""
+ORACLE["mapping_table"] = ORACLE["place_cell_mapping"]
 ORACLE["places_typed"] = f"SELECT * FROM {places}"
 ORACLE["places_csv"] = ORACLE["places_typed"]
 ORACLE["place_candidates"] = f"SELECT * FROM {candidates}"
@@ -117,6 +119,7 @@ missing = f"""(SELECT cell_key, date FROM (
     SELECT cell_key, CAST(unnest(generate_series(backfill_from_date, DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS date
     FROM {cells}) spine WHERE NOT EXISTS (SELECT 1 FROM {stored} s WHERE s.cell_key = spine.cell_key AND s.date = spine.date))"""
 ORACLE["missing_days"] = f"SELECT cell_key, CAST(date AS VARCHAR) AS date FROM {missing}"
+ORACLE["missing_days_spine"] = ORACLE["missing_days"]
 ORACLE["first_missing_date"] = f"""SELECT cell_key, CAST(min(date) AS VARCHAR) AS first_missing_date
     FROM {missing} GROUP BY cell_key"""
 ORACLE["first_missing_date_window"] = ORACLE["first_missing_date"]
@@ -155,6 +158,8 @@ UNION ALL
 SELECT s.cell_key, CAST(s.date AS VARCHAR), s.quantity, s.flag, NULL, '2024-03-01 00:00:00', '2024-03-01 00:00:00'
 FROM {source} s WHERE NOT EXISTS (SELECT 1 FROM {target} t WHERE s.cell_key = t.cell_key AND s.date = t.date)"""
 ORACLE["obs_upsert_table"] = ORACLE["obs_upsert"]
+ORACLE["obs_upsert_rerun"] = f"""SELECT u.* REPLACE (CASE WHEN updated_at = '2024-03-01 00:00:00'
+    THEN '2024-03-02 00:00:00' ELSE updated_at END AS updated_at) FROM ({ORACLE["obs_upsert"]}) u"""
 
 _GATED = ("cell_key", "date", "lat", "lon", "created_at", "updated_at")
 ORACLE["not_null_gate"] = " UNION ALL ".join(
@@ -175,6 +180,12 @@ ORACLE["daily_load"] = f"""SELECT {_load_columns},
     CASE WHEN {_second} THEN '2024-03-01 00:00:00' ELSE '2024-02-01 00:00:00' END AS updated_at
 FROM {daily} WHERE {_loaded}"""
 
+ORACLE["landed_load"] = f"""SELECT cell_key, CAST(day AS VARCHAR) AS date, -32.25::DOUBLE AS lat, 148.6::DOUBLE AS lon,
+    CAST(CASE WHEN {_second} THEN events ELSE peak END AS VARCHAR) AS daily_rain,
+    CAST(CASE WHEN {_second} THEN events ELSE peak END % 40 AS VARCHAR) || '.5' AS max_temp,
+    CAST(NULL AS VARCHAR) AS mslp FROM {type_totals}"""
+ORACLE["streamed_load"] = ORACLE["landed_load"]
+
 # --- checks on observations ------------------------------------------------------------------------------------------
 uncovered = "SELECT cell_key FROM {mapped} m WHERE NOT EXISTS (SELECT 1 FROM {rows} r WHERE r.cell_key = m.cell_key)"
 ORACLE["dq_coverage"] = "SELECT DISTINCT cell_key FROM (" + uncovered.format(mapped=cells, rows=stored) + ")"

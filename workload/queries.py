@@ -17,9 +17,11 @@ from daygrid.functions.geo import Grid, great_circle_km
 from daygrid.operators import checks, gaps, mapping, outcomes
 from daygrid.operators.upsert import PartitionBy, upsert, upsert_table
 from daygrid.plans import load_job, quality
+from daygrid.plans.mapping_job import build_mapping_table
 from daygrid.session import new_work_folder
 from daygrid.sources import responses
 from daygrid.sources.places import read_places, type_places
+from daygrid.streaming.landing import load_landing_folder
 from workload.inputs import for_spark
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,14 +78,18 @@ def places_typed(spark, folder):
     return _places(spark, folder)
 
 
-@query
-def places_csv(spark, folder):
-    """The same places by way of CSV files: other column order, one column too many, padded fields."""
+def _places_as_csv(spark: SparkSession, folder: str) -> str:
+    """The places as CSV files: other column order, one column too many, padded fields."""
     path = new_work_folder(spark, "places")
     text = for_spark(spark, folder, "places_text").withColumn("note", F.lit("a, b"))
     shuffled = text.select("longitude", "note", "state", "place_name", "latitude", "place_id")
     shuffled.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
-    return read_places(spark, path)
+    return path
+
+
+@query
+def places_csv(spark, folder):
+    return read_places(spark, _places_as_csv(spark, folder))
 
 
 @query
@@ -110,6 +116,14 @@ def grid_cells(spark, folder):
     return mapping.grid_cells(_mapping(spark, folder, COARSE))
 
 
+@query
+def mapping_table(spark, folder):
+    """The whole mapping job: places from CSV files to a stored table with comments."""
+    table = f"mapping_{uuid.uuid4().hex}"
+    build_mapping_table(spark, _places_as_csv(spark, folder), table, location=new_work_folder(spark, "table"))
+    return _flat(spark.table(table))
+
+
 # --- checks on places and mapping ----------------------------------------------------------------------------------
 
 
@@ -254,6 +268,12 @@ def missing_days(spark, folder):
     return gaps.missing_days(_cell_ranges(cells), stored)
 
 
+@query
+def missing_days_spine(spark, folder):
+    cells, stored = _cells_and_stored(spark, folder)
+    return gaps.missing_days_by_spine(_cell_ranges(cells), stored)
+
+
 @query
 def first_missing_date(spark, folder):
     cells, stored = _cells_and_stored(spark, folder)
@@ -307,6 +327,13 @@ def obs_upsert(spark, folder):
     return upsert(target, source, run_ts=RUN_TS)
 
 
+@query
+def obs_upsert_rerun(spark, folder):
+    """The same delivery loaded again a day later: only ``updated_at`` moves."""
+    target, source = for_spark(spark, folder, "upsert_target"), for_spark(spark, folder, "upsert_source")
+    return upsert(upsert(target, source, run_ts=RUN_TS), source, run_ts=datetime(2024, 3, 2))
+
+
 @query
 def obs_upsert_table(spark, folder):
     """The same upsert through a stored table partitioned by year: two loads, then the table."""
@@ -378,6 +405,49 @@ def _attempt_log(daily: DataFrame, value: str) -> DataFrame:
     return bodies.select(cell, F.inline(tried))
 
 
+def _land_daily(spark: SparkSession, folder: str, path: str, value: str, days) -> None:
+    """Daily totals per event type as landed CSV files, a folder per type."""
+    totals = for_spark(spark, folder, "type_totals").where(days)
+    columns = {
+        "latitude": F.lit("-32.25"),
+        "longitude": F.lit("148.6"),
+        "YYYY-MM-DD": F.col("day").cast("string"),
+        "daily_rain": F.col(value).cast("string"),
+        "max_temp": F.concat(F.col(value) % 40, F.lit(".5")),
+        "min_temp": F.lit("1"),
+        "vp": F.lit("2"),
+        "radiation": F.lit("3"),
+    }
+    rows = totals.select("cell_key", *[column.alias(name) for name, column in columns.items()])
+    rows.repartition("cell_key").write.mode("append").option("header", True).partitionBy("cell_key").csv(path)
+
+
+_EARLY, _LATE = "day < DATE '2024-01-21'", "day >= DATE '2024-01-11'"
+_LANDED_RESULT = ("cell_key", "date", "lat", "lon", "daily_rain", "max_temp", "mslp")
+
+
+@query
+def landed_load(spark, folder):
+    """Landed files of two deliveries loaded in one go: the newer file of a day wins."""
+    path, table = new_work_folder(spark, "landing"), f"observations_{uuid.uuid4().hex}"
+    load_job.create_observation_table(spark, table, location=new_work_folder(spark, "table"))
+    _land_daily(spark, folder, path, "peak", _EARLY)
+    _land_daily(spark, folder, path, "events", _LATE)
+    load_job.load_landed_files(spark, path, table, RUN_TS)
+    return spark.table(table).select(*_LANDED_RESULT)
+
+
+@query
+def streamed_load(spark, folder):
+    """The same two deliveries picked up by the stream as they land, in two runs."""
+    path, table = new_work_folder(spark, "landing"), f"observations_{uuid.uuid4().hex}"
+    load_job.create_observation_table(spark, table, location=new_work_folder(spark, "table"))
+    for value, days in (("peak", _EARLY), ("events", _LATE)):
+        _land_daily(spark, folder, path, value, days)
+        load_landing_folder(spark, path, table, table).awaitTermination()
+    return spark.table(table).select(*_LANDED_RESULT)
+
+
 # --- checks on observations ------------------------------------------------------------------------------------------
 
 
