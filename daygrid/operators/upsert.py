@@ -195,7 +195,7 @@ def _partitions(spark: SparkSession, table: str, names: Sequence[str], touched:
     if len(names) == 1:
         return rows
     listed = spark.createDataFrame(touched, ", ".join(f"{name} string" for name in names))
-    return rows.join(listed, list(names), "left_semi")
+    return rows.join(listed, list(names), "left_semi").select(*rows.columns)  # the join moves its keys to the front
 
 
 def replace_table(df: DataFrame, table: str, required: Sequence[str]) -> int:
