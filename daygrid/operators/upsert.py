@@ -152,7 +152,8 @@ def upsert_table(
     staged = enforce_not_null(partition_by.add_to(source), [*required, *partition_by.columns])
     staged.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged_at)
     try:
-        touched = merge_staged(spark, spark.read.parquet(staged_at), table, keys, run_ts, partition_by)
+        incoming = spark.read.schema(staged.schema).parquet(staged_at)
+        touched = merge_staged(spark, incoming, table, keys, run_ts, partition_by)
         return UpsertResult(seen.get["rows"], touched)
     finally:
         delete_work_folder(spark, staged_at)
@@ -174,10 +175,7 @@ def merge_staged(
     partition_by = partition_by or PartitionBy()
     names = list(partition_by.columns)
     incoming = partition_by.add_to(incoming)
-    repeated = repeated_keys(incoming, keys).first()
-    if repeated is not None:
-        raise ValueError(f"{REPEATED_KEY}: {', '.join(str(repeated[key]) for key in keys)}")
-    touched = [tuple(row) for row in incoming.select(*names).distinct().collect()]
+    touched = _touched_partitions(incoming, keys, names)
     if not touched:
         return 0
     target = _partitions(spark, table, names, touched)
@@ -187,6 +185,17 @@ def merge_staged(
     return len(touched)
 
 
+def _touched_partitions(incoming: DataFrame, keys: Sequence[str], names: Sequence[str]) -> list[tuple]:
+    """The partitions of the incoming rows; fails if a key comes twice. One pass over the key columns answers both."""
+    copies = incoming.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("copies"))
+    found = copies.agg(
+        F.collect_set(F.struct(*names)).alias("touched"), F.max(F.struct("copies", *keys)).alias("most")
+    ).first()
+    if found["touched"] and found["most"]["copies"] > 1:
+        raise ValueError(f"{REPEATED_KEY}: {', '.join(str(found['most'][key]) for key in keys)}")
+    return [tuple(partition) for partition in found["touched"]]
+
+
 def _partitions(spark: SparkSession, table: str, names: Sequence[str], touched: list[tuple]) -> DataFrame:
     """Rows of the listed partitions. Values per column prune the directories; combinations are then matched exactly."""
     rows = spark.table(table)

@@ -98,13 +98,14 @@ def load_records(
         "problem", F.coalesce("problem", F.when(~placed, "a row lacks its key or position"))
     )
     judged.write.parquet(parsed_at)
-    parsed = spark.read.parquet(parsed_at)
+    parsed = spark.read.schema(judged.schema).parquet(parsed_at)
 
     failed = responses.refused(parsed).select("cell_key", "problem")
     if failed_before is not None:
         failed = failed.unionByName(failed_before.select("cell_key", "problem"))
-    failed.groupBy("cell_key", "problem").agg(F.count(F.lit(1)).alias("rows")).write.parquet(failed_at)
-    failed = spark.read.parquet(failed_at)
+    failed = failed.groupBy("cell_key", "problem").agg(F.count(F.lit(1)).alias("rows"))
+    failed.write.parquet(failed_at)
+    failed = spark.read.schema(failed.schema).parquet(failed_at)
 
     data = [name for name in OBSERVATION_SCHEMA.names if name not in (*KEYS, *_STAMPS)] + ["absent"]
     incoming = responses.accepted(parsed)
