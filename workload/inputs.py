@@ -151,8 +151,10 @@ FROM {response_parts}
 """
 
 # Daily values per user for a load from start to end; days before the 21st come first, days from the 11th on later.
+# ``fate`` is what happens when the user's location is fetched.
 INPUTS["daily_values"] = """
-SELECT user_id, CAST(ts AS DATE) AS day, MAX(CAST(FLOOR(value) AS INT)) AS peak, COUNT(*) AS events
+SELECT user_id, CAST(ts AS DATE) AS day, MAX(CAST(FLOOR(value) AS INT)) AS peak, COUNT(*) AS events,
+       CASE user_id % 10 WHEN 3 THEN 'silent' WHEN 4 THEN 'slow' WHEN 5 THEN 'refused' ELSE 'fine' END AS fate
 FROM {events} GROUP BY user_id, CAST(ts AS DATE)
 """
 

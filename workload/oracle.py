@@ -166,8 +166,8 @@ ORACLE["not_null_gate"] = " UNION ALL ".join(
     f"SELECT '{name}' AS column_name, count(*) - count({name}) AS null_count FROM {observations}" for name in _GATED
 )
 
-# Users ending in 3 are never answered and users ending in 5 are refused; the rest load whatever the day delivers.
-_loaded = "user_id % 10 NOT IN (3, 5)"
+# Locations that are never answered or refused load nothing; the rest load whatever the day delivers.
+_loaded = "fate NOT IN ('silent', 'refused')"
 _first, _second = "day < DATE '2024-01-21'", "day >= DATE '2024-01-11'"
 _load_columns = """'u' || CAST(user_id AS VARCHAR) AS cell_key, CAST(day AS VARCHAR) AS date,
     CAST('-' || CAST(10 + user_id % 30 AS VARCHAR) || '.25' AS DOUBLE) AS lat,

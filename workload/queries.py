@@ -7,9 +7,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrid.contracts import create_table, null_counts
@@ -30,7 +30,7 @@ QUERIES: dict[str, Query] = {}
 RUN_DATE = date(2024, 1, 30)
 REFRESH_DAYS = 10
 LAST_DAY = date(2001, 12, 31)
-RUN_TS = datetime(2024, 3, 1)
+FIRST_RUN, SECOND_RUN, THIRD_RUN = "2024-02-01 00:00:00", "2024-03-01 00:00:00", "2024-03-02 00:00:00"
 NEAR_KM = 3.0
 COARSE = Grid(resolution=2.0)
 
@@ -48,6 +48,10 @@ def query(run: Query) -> Query:
     return run
 
 
+def _at(text: str) -> Column:
+    return F.lit(text).cast("timestamp")
+
+
 def _places(spark: SparkSession, folder: str) -> DataFrame:
     return type_places(for_spark(spark, folder, "places_text"))
 
@@ -324,14 +328,14 @@ def backfill_summary(spark, folder):
 @query
 def obs_upsert(spark, folder):
     target, source = for_spark(spark, folder, "upsert_target"), for_spark(spark, folder, "upsert_source")
-    return upsert(target, source, run_ts=RUN_TS)
+    return upsert(target, source, run_ts=_at(SECOND_RUN))
 
 
 @query
 def obs_upsert_rerun(spark, folder):
     """The same delivery loaded again a day later: only ``updated_at`` moves."""
     target, source = for_spark(spark, folder, "upsert_target"), for_spark(spark, folder, "upsert_source")
-    return upsert(upsert(target, source, run_ts=RUN_TS), source, run_ts=datetime(2024, 3, 2))
+    return upsert(upsert(target, source, run_ts=_at(SECOND_RUN)), source, run_ts=_at(THIRD_RUN))
 
 
 @query
@@ -342,8 +346,8 @@ def obs_upsert_table(spark, folder):
     table = f"upserted_{uuid.uuid4().hex}"
     location = new_work_folder(spark, "table")
     create_table(spark, table, target.schema, partition_by=by_year.schema, location=location)
-    upsert_table(spark, target, table, run_ts=datetime(2024, 2, 1), partition_by=by_year)
-    upsert_table(spark, source, table, run_ts=RUN_TS, partition_by=by_year)
+    upsert_table(spark, target, table, run_ts=_at(FIRST_RUN), partition_by=by_year)
+    upsert_table(spark, source, table, run_ts=_at(SECOND_RUN), partition_by=by_year)
     return spark.table(table).drop("year")
 
 
@@ -360,8 +364,8 @@ def daily_load(spark, folder):
     table = f"observations_{uuid.uuid4().hex}"
     load_job.create_observation_table(spark, table, location=new_work_folder(spark, "table"))
     early, late = F.col("day") < date(2024, 1, 21), F.col("day") >= date(2024, 1, 11)
-    load_job.load_attempts(spark, _attempt_log(daily.where(early), "peak"), table, datetime(2024, 2, 1))
-    load_job.load_attempts(spark, _attempt_log(daily.where(late), "events"), table, RUN_TS)
+    load_job.load_attempts(spark, _attempt_log(daily.where(early), "peak"), table, _at(FIRST_RUN))
+    load_job.load_attempts(spark, _attempt_log(daily.where(late), "events"), table, _at(SECOND_RUN))
     return spark.table(table).select(
         "cell_key", "date", "lat", "lon", "daily_rain", "max_temp", "mslp", "created_at", "updated_at"
     )
@@ -385,7 +389,7 @@ def _attempt_log(daily: DataFrame, value: str) -> DataFrame:
         *[F.lit(text) for text in (("1", "2", "3", "1010") if has_mslp else ("1", "2", "3"))],
     )
     body = F.concat(F.lit(header + "\n"), F.array_join(F.sort_array(F.collect_list(line)), "\n"))
-    bodies = daily.groupBy("user_id").agg(body.alias("body"))
+    bodies = daily.groupBy("user_id", "fate").agg(body.alias("body"))
 
     def attempt(number: int, status: int, has_body: bool):
         return F.struct(
@@ -396,9 +400,9 @@ def _attempt_log(daily: DataFrame, value: str) -> DataFrame:
 
     failing = F.array(*[attempt(n, 503, False) for n in range(1, 5)])
     tried = (
-        F.when(F.col("user_id") % 10 == 3, failing)
-        .when(F.col("user_id") % 10 == 4, F.array(attempt(1, 503, False), attempt(2, 200, True)))
-        .when(F.col("user_id") % 10 == 5, F.array(attempt(1, 404, False), attempt(2, 200, True)))
+        F.when(F.col("fate") == "silent", failing)
+        .when(F.col("fate") == "slow", F.array(attempt(1, 503, False), attempt(2, 200, True)))
+        .when(F.col("fate") == "refused", F.array(attempt(1, 404, False), attempt(2, 200, True)))
         .otherwise(F.array(attempt(1, 200, True)))
     )
     cell = F.concat(F.lit("u"), "user_id").alias("cell_key")
@@ -433,7 +437,7 @@ def landed_load(spark, folder):
     load_job.create_observation_table(spark, table, location=new_work_folder(spark, "table"))
     _land_daily(spark, folder, path, "peak", _EARLY)
     _land_daily(spark, folder, path, "events", _LATE)
-    load_job.load_landed_files(spark, path, table, RUN_TS)
+    load_job.load_landed_files(spark, path, table, _at(SECOND_RUN))
     return spark.table(table).select(*_LANDED_RESULT)
 
 
