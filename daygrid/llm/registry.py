@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from daygrid.llm import decontaminate, mixing, quality, secrets, simhash
+from daygrid.llm import decontaminate, html, mixing, quality, secrets, simhash, suffix
 from daygrid.llm.oracle import ORACLE
 
 QUERIES = {
+    "op1_html_extraction": html.op1_html_extraction,
     "op2_mixing": mixing.op2_mixing,
+    "op4_suffix_array_dedup": suffix.op4_suffix_array_dedup,
     "op6_quality_rules": quality.op6_quality_rules,
     "op8_secret_scans": secrets.op8_secret_scans,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
