@@ -63,8 +63,10 @@ _NAMES = {name: (gender, script) for (gender, script), names in GIVEN.items() fo
 _TITLE = {title: gender for gender, titles in TITLES.items() for title in titles.split()}
 _UPPER, _LOWER = "A-ZÀ-ÖØ-ÞА-ЯЁ", "a-zß-öø-ÿа-яё"
 _WORD = rf"[{_UPPER}](?:[{_LOWER}]+|[{_UPPER}]+)(?:[-’'][{_UPPER}][{_LOWER}]+)?"
-_PERSON = re.compile(rf"\b({'|'.join(sorted(_TITLE, key=len, reverse=True))})(?:\.\x20?|\x20)({_WORD})(?:\x20({_WORD}))?(?!\w)")
-_GIVEN = re.compile(rf"(?<![\w’'-])({'|'.join(sorted(_NAMES, key=len, reverse=True))})\x20({_WORD})(?!\w)")
+_OPENING = "([\"'“«"
+_ALONE = rf"(?<![^\s{re.escape(_OPENING)}])"
+_PERSON = re.compile(rf"{_ALONE}({'|'.join(sorted(_TITLE, key=len, reverse=True))})\.?\s({_WORD})(?:\x20({_WORD}))?(?!\w)")
+_GIVEN = re.compile(rf"{_ALONE}({'|'.join(sorted(_NAMES, key=len, reverse=True))})\x20({_WORD})(?!\w)")
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _NUMBERS = re.compile(
@@ -76,9 +78,9 @@ _NUMBERS = re.compile(
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<![\w.])[3-6]\d{3}(?:([\x20-]?)\d{4}(?:\7\d{4}){1,2}\7?\d{0,4}|\d{9,15})(?!\w))".replace(r"\7", r"(?:[\x20-]?)")
 )
-# What a text must hold for the slower expressions to match.
-_TITLE_MARKS = tuple(t + end for t in _TITLE for end in (". ", " ", "."))
-_GIVEN_MARKS = tuple(n + " " for n in _NAMES)
+# Tokens, between white space, that a text must hold for the slower expressions to match.
+_TITLE_TOKENS = frozenset(o + t + end for o in ("", *_OPENING) for t in _TITLE for end in ("", "."))
+_GIVEN_TOKENS = frozenset(o + n for o in ("", *_OPENING) for n in _NAMES)
 _HAS_NUMBER = re.compile(r"[0-9@]")
 
 
@@ -95,6 +97,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             if kind is None:
                 kind = next(k for k, v in match.groupdict().items() if v)
             canonical = value.lower() if kind == "email" else re.sub(r"[^0-9A-Za-z.+]" if kind in ("ip", "phone") else r"[\x20-]", "", value)
+            if kind == "card" and _luhn(canonical):
+                continue  # a number, but no card's
             found.append((match.start(), match.end(), kind, canonical.replace(".", "") if kind == "phone" else canonical))
 
     def name(match: re.Match, group: int, kind: str) -> None:
@@ -102,7 +106,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         if word:
             found.append((match.start(group), match.end(group), f"{kind}-{_script(word)}", word.lower()))
 
-    if any(mark in text for mark in _TITLE_MARKS):
+    tokens = set(text.split())
+    if not tokens.isdisjoint(_TITLE_TOKENS):
         for match in _PERSON.finditer(text):
             if match.group(3):
                 gender = _TITLE[match.group(1)]
@@ -110,7 +115,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 name(match, 3, "s")
             else:
                 name(match, 2, "s")
-    if any(mark in text for mark in _GIVEN_MARKS):
+    if not tokens.isdisjoint(_GIVEN_TOKENS):
         for match in _GIVEN.finditer(text):
             name(match, 1, _NAMES[match.group(1)][0])
             name(match, 2, "s")
@@ -184,9 +189,7 @@ def core(key: bytes, kind: str, canonical: str, turn: int = 0) -> str:
         return "+" * canonical.startswith("+") + digits[:kept] + rest
     if kind == "card":
         drawn = canonical[0] + draw.like(canonical[1:])
-        if _luhn(canonical) == 0:
-            drawn = next(drawn[:-1] + str(d) for d in range(10) if _luhn(drawn[:-1] + str(d)) == 0)
-        return drawn
+        return next(drawn[:-1] + str(d) for d in range(10) if _luhn(drawn[:-1] + str(d)) == 0)
     if kind == "ssn":
         return "9" + draw.like(canonical[1:])
     if kind == "iban":
