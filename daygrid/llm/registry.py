@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from daygrid.llm import decontaminate, html, mixing, passages, pii, quality, secrets, simhash, suffix
+from daygrid.llm import decontaminate, html, lm, mixing, passages, pii, quality, secrets, simhash, suffix
 from daygrid.llm.oracle import ORACLE
 
 QUERIES = {
     "op1_html_extraction": html.op1_html_extraction,
     "op2_mixing": mixing.op2_mixing,
+    "op3_lm_scoring": lm.op3_lm_scoring,
     "op4_suffix_array_dedup": suffix.op4_suffix_array_dedup,
     "op5_substring_dedup": passages.op5_substring_dedup,
     "op6_quality_rules": quality.op6_quality_rules,
