@@ -3,7 +3,7 @@
 A byte goes if it lies in a string of ``LENGTH`` bytes that also starts earlier, in a document with a smaller id or
 before in the same one. Strings are judged on the input, and never cross documents.
 
-1. Screen. The starts of a text are grouped by the smallest hash among the 32-byte grams of their 100-byte window
+1. Screen. The starts of a text are grouped by the smallest hash among the 24-byte grams of their 100-byte window
    (a minimizer): equal windows have equal minimizers, so only groups whose minimizer occurs twice or more in the corpus
    can hold repeats. This loses nothing and spares the suffix arrays the text that is unique, which is most of it.
 2. Shards. Each task cuts the remaining regions of its documents into shards of ``SHARD`` bytes. Larsson-Sadakane
@@ -34,11 +34,12 @@ from pyspark.sql import functions as F
 from daygrid.llm.common import spread, staged, table
 
 LENGTH = 100
-GRAM = 32
-SHARD = 2 << 20
+GRAM = 24
+SHARD = 1 << 18
+BATCH = 8 << 20
 PIECE = 1 << 19
 HOT = 100_000
-#: Minimizers and spans (arrays of longs) that may be broadcast along with their documents.
+#: Starts of repeats that may be broadcast with their documents.
 BROADCAST_VALUES = 4_000_000
 _MIX = tuple(np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
@@ -96,25 +97,37 @@ def _windows(texts: Iterable[bytes], length: int, gram: int) -> Iterator[tuple[n
         yield numbers, offsets, begin, sizes, piece, inside, _grams(data, gram)
 
 
+def _anchors(grams: np.ndarray, least: np.ndarray, inside: np.ndarray, width: int) -> np.ndarray:
+    """The places whose gram is the least of some window that counts."""
+    none = np.zeros(width - 1, dtype=np.uint64)
+    most = _extreme(np.concatenate((none, np.where(inside, least, np.uint64(0)), none)), width, np.maximum)
+    return np.flatnonzero((grams == most) & (most > 0))
+
+
 def anchors(texts: Iterable[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(text, minimizer) of every place whose gram is the least of some window."""
     width = length - gram + 1
-    for numbers, _, begin, _, piece, inside, grams in _windows(texts, length, gram):
-        least = np.where(inside, _extreme(grams, width, np.minimum), np.uint64(0))
-        none = np.zeros(width - 1, dtype=np.uint64)
-        most = _extreme(np.concatenate((none, least, none)), width, np.maximum)
-        at = np.flatnonzero((grams == most) & (most > 0))
+    for numbers, _, begin, _, _, inside, grams in _windows(texts, length, gram):
+        at = _anchors(grams, _extreme(grams, width, np.minimum), inside, width)
         yield numbers[np.searchsorted(begin, at, "right") - 1], grams[at]
 
 
 def groups(texts: Iterable[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text, start, n, minimizer) of all groups of neighbouring window starts with the same minimizer."""
+    """(text, start, n, minimizer, again) of all groups of neighbouring window starts with the same minimizer.
+
+    ``again``: the minimizer may be there twice, so that windows of the group can be equal.
+    """
+    width = length - gram + 1
     for numbers, offsets, begin, sizes, piece, inside, grams in _windows(texts, length, gram):
-        least = _extreme(grams, length - gram + 1, np.minimum)
+        least = _extreme(grams, width, np.minimum)
         head = np.flatnonzero(inside & np.concatenate(([True], (least[1:] != least[:-1]) | (piece[1:] != piece[:-1]))))
         # A group ends where the next begins, or with the last window of its piece.
         end = np.minimum(np.concatenate((head[1:], [len(least)])), begin[piece[head]] + sizes[piece[head]] - length + 1)
-        yield numbers[piece[head]], head - begin[piece[head]] + offsets[piece[head]], end - head, least[head]
+        at = _anchors(grams, least, inside, width)
+        twice = np.cumsum(np.concatenate(([False], grams[at][1:] == grams[at][:-1])))
+        first, last = np.searchsorted(at, head), np.searchsorted(at, end + width - 1) - 1
+        again = twice[np.maximum(last, first)] > twice[first] if len(at) else np.zeros(len(head), dtype=bool)
+        yield numbers[piece[head]], head - begin[piece[head]] + offsets[piece[head]], end - head, least[head], again
 
 
 def suffix_array(data: np.ndarray, depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -217,70 +230,88 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2] - 1
 
 
-def _regions(start: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(first, last) window start of groups that follow each other, at most SHARD starts long."""
-    first = np.concatenate(([True], start[1:] != start[:-1] + n[:-1]))
-    for a, b in zip(start[first], (start + n)[np.concatenate((first[1:], [True]))]):
+def _regions(number: np.ndarray, start: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(text, first, last) window start of groups that follow each other, at most SHARD starts long."""
+    if not len(number):
+        return
+    first = np.concatenate(([True], (start[1:] != start[:-1] + n[:-1]) | (number[1:] != number[:-1])))
+    last = np.concatenate((first[1:], [True]))
+    for d, a, b in zip(number[first].tolist(), start[first].tolist(), (start + n)[last].tolist()):
         for at in range(a, b, SHARD):
-            yield int(at), int(min(at + SHARD, b)) - 1
+            yield d, at, min(at + SHARD, b) - 1
+
 
+def _member(number: np.ndarray, least: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """Whether each minimizer is among those of its text; texts follow each other."""
+    found = np.zeros(len(number), dtype=bool)
+    cuts = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1], [True]))) if len(number) else []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        found[a:b] = np.isin(least[a:b], sets[number[a]])
+    return found
 
-_SENT = "kind string, last boolean, id {id}, key long, start long, n long, route long, bytes binary"
+
+_SENT = "last boolean, id {id}, key long, start int, n int, route long, bytes binary"
 
 
 def _sift(length: int, gram: int, names: list[str]):
-    """Step 2: for the documents of a task, repeats inside shards (kind r), and window groups to be merged (kind m)."""
+    """Step 2: for the documents of a task, window groups to be merged, and (without bytes) repeats found already."""
 
     def shards(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         rows = batch.drop_duplicates("key").sort_values(["last", "id", "key"], kind="stable").reset_index(drop=True)
         texts = [t.encode("utf-8", "surrogatepass") for t in rows["text"]]
         wanted = [np.asarray(w, dtype=np.int64).view(np.uint64) for w in rows["wanted"]]
         hot = [np.asarray(w, dtype=np.int64).view(np.uint64) for w in rows["hot"]]
-        found = [[] for _ in texts]
-        for number, start, n, least in groups(texts, length, gram):
-            cuts = np.concatenate(([0], np.flatnonzero(number[1:] != number[:-1]) + 1, [len(number)])) if len(number) else []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                good = np.isin(least[a:b], wanted[number[a]])
-                found[number[a]].append((start[a:b][good], n[a:b][good], least[a:b][good]))
-        merged = [tuple(np.concatenate(x) for x in zip(*f)) if f else None for f in found]
+        some = [[], [], [], [], []]
+        for each in groups(texts, length, gram):
+            good = _member(each[0], each[3], wanted)
+            for column, values in zip(some, each):
+                column.append(values[good])
+        number, start, n, least, again = (np.concatenate(c) for c in some) if some[0] else [np.zeros(0, dtype=np.int64)] * 5
+        # Equal groups: all but the first repeat it, start by start.
+        first: dict[tuple[int, bytes], int] = {}
         flags = [np.zeros(max(len(t) - length + 1, 0), dtype=bool) for t in texts]
+        owner = np.zeros(len(number), dtype=bool)
+        for i, (d, s, c, m) in enumerate(zip(number.tolist(), start.tolist(), n.tolist(), least.tolist())):
+            owner[i] = first.setdefault((m, texts[d][s : s + c + length - 1]), i) == i
+            if not owner[i]:
+                flags[d][s : s + c] = True
+        first.clear()
+        # Only groups that share their minimizer with another one, or hold it twice, can have repeats within the task.
+        _, inverse, count = np.unique(least[owner], return_inverse=True, return_counts=True)
+        open_ = np.flatnonzero(owner)[(count[inverse] > 1) | again[owner].astype(bool)]
         shard = _Shard()
 
         def settle() -> None:
-            for number, at, repeated in shard.repeats(length) if shard.parts else ():
-                flags[number][at : at + len(repeated)] |= repeated
-
-        for number, some in enumerate(merged):
-            if some is None or not len(some[0]):
-                continue
-            for a, b in _regions(some[0], some[1]):
-                shard.parts.append((number, a, texts[number][a : b + length]))
-                shard.size += b - a + length
-                if shard.size >= SHARD:
-                    settle()
-                    shard = _Shard()
+            for d, at, repeated in shard.repeats(length) if shard.parts else ():
+                flags[d][at : at + len(repeated)] |= repeated
+
+        for d, a, b in _regions(number[open_], start[open_], n[open_]):
+            shard.parts.append((d, a, texts[d][a : b + length]))
+            shard.size += b - a + length
+            if shard.size >= SHARD:
+                settle()
+                shard = _Shard()
         settle()
         out: list[tuple] = []
-        for number, some in enumerate(merged):
-            for a, b in zip(*_runs(flags[number])):
-                out.append(("r", number, a, b - a + 1, 0, None))
-            if some is None:
+        for d, repeated in enumerate(flags):
+            out += [(d, a, b - a + 1, a, None) for a, b in zip(*_runs(repeated))]
+        seldom = ~_member(number, least, hot)
+        for i in np.flatnonzero(owner):
+            d, s, c = int(number[i]), int(start[i]), int(n[i])
+            fresh = ~flags[d][s : s + c]
+            if not fresh.any():
                 continue
-            for start, n, least in zip(*some):
-                fresh = ~flags[number][start : start + n]
-                if not fresh.any():
-                    continue
-                if not np.isin(least, hot[number]):
-                    out.append(("m", number, start, n, least.view(np.int64), texts[number][start : start + n + length - 1]))
-                    continue
-                for at in start + np.flatnonzero(fresh):
-                    window = texts[number][at : at + length]
-                    route = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
-                    out.append(("m", number, at, 1, route, window))
+            if seldom[i]:
+                out.append((d, s, c, int(least[i].view(np.int64)), texts[d][s : s + c + length - 1]))
+                continue
+            for at in s + np.flatnonzero(fresh):
+                window = texts[d][at : at + length]
+                route = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
+                out.append((d, int(at), 1, route, window))
         if out:
-            kind, number, start, n, route, piece = zip(*out)
-            sent = rows.loc[list(number), ["last", "id", "key"]].reset_index(drop=True)
-            sent["kind"], sent["start"], sent["n"], sent["route"], sent["bytes"] = kind, start, n, route, piece
+            d, start, n, route, piece = zip(*out)
+            sent = rows.loc[list(d), ["last", "id", "key"]].reset_index(drop=True)
+            sent["start"], sent["n"], sent["route"], sent["bytes"] = start, n, route, piece
             yield sent[names]
 
     def sift(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -288,7 +319,7 @@ def _sift(length: int, gram: int, names: list[str]):
         for batch in batches:
             some.append(batch)
             size += batch["text"].str.len().sum()
-            if size >= 4 * SHARD:
+            if size >= BATCH:
                 yield from shards(pd.concat(some))
                 some, size = [], 0
         if some:
@@ -318,7 +349,10 @@ def _merged(runs: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
 def _settle(length: int):
     """Step 3, over rows sorted by route and document: the windows that occur earlier in another shard."""
 
-    def decide(rows: pd.DataFrame) -> pd.DataFrame:
+    def decide(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        known = rows["bytes"].isna()
+        yield rows.loc[known, ["key", "start", "n"]]
+        rows = rows[~known]
         owner: dict[tuple[int, bytes], int] = {}
         route, piece, key = rows["route"].to_numpy(), rows["bytes"].to_list(), rows["key"].to_numpy()
         start, n, shard = rows["start"].to_numpy(), rows["n"].to_numpy(), rows["shard"].to_numpy()
@@ -334,53 +368,57 @@ def _settle(length: int):
         several |= np.concatenate((several[1:], [False]))
         rest = firsts[several]
         cuts = np.flatnonzero(np.concatenate(([True], route[rest][1:] != route[rest][:-1], [True]))) if len(rest) else []
-        # Whole routes, some SHARD bytes at a time.
+        # Whole routes, some BATCH bytes of windows at a time.
         a = 0
         while a + 1 < len(cuts):
             b, size = a + 1, 0
-            while b < len(cuts) and (size := size + int(n[rest[cuts[b - 1] : cuts[b]]].sum()) * length) < 8 * SHARD:
+            while b < len(cuts) and (size := size + int(n[rest[cuts[b - 1] : cuts[b]]].sum()) * length) < BATCH:
                 b += 1
             b = min(b, len(cuts) - 1)
             some = rest[cuts[a] : cuts[b]]
             a = b
             row = np.repeat(some, n[some])
             off = np.arange(len(row)) - np.repeat(np.cumsum(n[some]) - n[some], n[some])
-            data = np.frombuffer(b"".join(piece[i] for i in some), dtype=np.uint8)
-            begin = np.repeat(np.cumsum(n[some] + length - 1) - (n[some] + length - 1), n[some]) + off
-            windows = np.lib.stride_tricks.sliding_window_view(data, length)[begin]
-            windows = np.ascontiguousarray(windows).view(f"S{length}").ravel()
+            place = np.arange(len(row))
             runs = []
             for s in np.unique(shard[some]):
-                own = np.flatnonzero(shard[row] == s)
-                by = own[np.argsort(windows[own], kind="stable")]
-                new = np.concatenate(([True], windows[by][1:] != windows[by][:-1]))
-                gone += [(row[i], off[i], 1) for i in by[~new]]
-                runs.append((windows[by[new]], by[new]))
+                own = some[shard[some] == s]
+                data = np.frombuffer(b"\xff".join([*(piece[i] for i in own), bytes(length)]), dtype=np.uint8)
+                begin = np.cumsum(n[own] + length) - (n[own] + length)
+                at = np.repeat(begin, n[own]) + np.arange(n[own].sum()) - np.repeat(np.cumsum(n[own]) - n[own], n[own])
+                order, rank = suffix_array(data, length)
+                name = np.full(len(data), -1, dtype=np.int64)
+                name[at] = place[shard[row] == s]
+                order = order[name[order] >= 0]
+                new = np.concatenate(([True], rank[order][1:] != rank[order][:-1]))
+                gone += [(row[i], off[i], 1) for i in name[order[~new]]]
+                windows = np.lib.stride_tricks.sliding_window_view(data, length)[order[new]]
+                runs.append((np.ascontiguousarray(windows).view(f"S{length}").ravel(), name[order[new]]))
             for late in _merged(runs):
                 gone += [(row[i], off[i], 1) for i in late]
         if not gone:
-            return pd.DataFrame({"key": [], "start": [], "n": []}).astype("int64")
+            return
         i, off, count = (np.array(x, dtype=np.int64) for x in zip(*gone))
         # Neighbouring starts become one row again.
         by = np.lexsort((off, i))
         i, off, count = i[by], off[by], count[by]
         head = np.concatenate(([True], (i[1:] != i[:-1]) | (off[1:] != off[:-1] + count[:-1])))
         total = np.add.reduceat(count, np.flatnonzero(head))
-        return pd.DataFrame({"key": key[i[head]], "start": start[i[head]] + off[head], "n": total})
+        yield pd.DataFrame({"key": key[i[head]], "start": start[i[head]] + off[head], "n": total})
 
     def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
             held = batch if held is None else pd.concat((held, batch), ignore_index=True)
-            if held["n"].sum() + length * len(held) < SHARD:
+            if held["n"].sum() + length * len(held) < BATCH:
                 continue
             # The last route may go on in the next batch.
             open_ = held["route"] == held["route"].iloc[-1]
             if not open_.all():
-                yield decide(held[~open_].reset_index(drop=True))
+                yield from decide(held[~open_].reset_index(drop=True))
                 held = held[open_].reset_index(drop=True)
         if held is not None and len(held):
-            yield decide(held)
+            yield from decide(held)
 
     return settle
 
@@ -396,27 +434,27 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
 
     def screen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys = batch["key"].to_numpy()
+            names = batch["doc"].to_numpy()
             texts = (t.encode("utf-8", "surrogatepass") for t in batch["text"])
             for number, least in anchors(texts, length, gram):
-                yield pd.DataFrame({"least": least.view(np.int64), "key": keys[number]})
-
-    seen = staged(docs.select("key", "text").mapInPandas(screen, "least long, key long"), "minimizers")
-    often = seen.groupBy("least").count().where("count > 1")
-    flagged = seen.join(often, "least").groupBy("key").agg(
+                yield pd.DataFrame({"least": least.view(np.int64), "doc": names[number]})
+
+    kind = docs.schema["id"].dataType.simpleString()
+    # Ids pack better than hashes. Rows that share one are given each other's minimizers too, which does no harm.
+    named = docs.withColumn("doc", F.coalesce("id", "key") if kind in ("bigint", "int") else F.col("key"))
+    seen = named.select("doc", "text").mapInPandas(screen, "least long, doc long")
+    # Written, so that the join below shuffles both sides anew and can split a minimizer that is everywhere.
+    often = staged(seen.groupBy("least").count().where("count > 1"), "frequent")
+    flagged = seen.join(often, "least").groupBy("doc").agg(
         F.collect_set("least").alias("wanted"),
         F.collect_set(F.when(F.col("count") > hot, F.col("least"))).alias("hot"),
     )
-    flagged = staged(flagged, "flagged")
-    parts = docs.withColumn("last", F.col("id").isNull()).join(_small(flagged, "wanted"), "key")
-    schema = _SENT.format(id=docs.schema["id"].dataType.simpleString())
-    names = ["kind", "last", "id", "key", "start", "n", "route", "bytes"]
-    columns = parts.select("last", "id", "key", "text", "wanted", "hot")
-    sent = staged(columns.mapInPandas(_sift(length, gram, names), schema).withColumn("shard", F.spark_partition_id()), "windows")
-    merge = spread(sent.where("kind = 'm'").drop("kind"), "route").sortWithinPartitions("route", "last", "id", "key", "start")
-    crossing = merge.select("key", "start", "n", "route", "bytes", "shard").mapInPandas(_settle(length), "key long, start long, n long")
-    both = sent.where("kind = 'r'").select("key", "start", "n").unionAll(crossing)
-    return staged(both.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("spans")), "repeats")
+    parts = named.join(flagged, "doc").select(F.col("id").isNull().alias("last"), "id", "key", "text", "wanted", "hot")
+    names = ["last", "id", "key", "start", "n", "route", "bytes"]
+    sent = parts.mapInPandas(_sift(length, gram, names), _SENT.format(id=kind)).withColumn("shard", F.spark_partition_id())
+    merge = spread(sent, "route").sortWithinPartitions("route", "last", "id", "key", "start")
+    found = merge.select("key", "start", "n", "route", "bytes", "shard").mapInPandas(_settle(length), "key long, start long, n long")
+    return staged(found.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("spans")), "repeats")
 
 
 def remove_repeats(
