@@ -123,17 +123,17 @@ def decontaminate(
     docs: DataFrame, items: DataFrame, text: str = "text", keep: tuple[str, ...] = (), words: int = WORDS, shingle: int = SHINGLE
 ) -> DataFrame:
     """The columns ``keep``, n_words, n_hit, n_items, item_ids (sorted strings) for every row of ``docs``."""
-    rows = docs.select(*[F.col(c) for c in keep], F.col(text).alias("text"))
+    rows = docs.select(*[F.col(c) for c in keep], F.col(text).alias("_text"))
     windows = staged(windows_of(items.select("item_id", "text"), words), "windows")
-    places = staged(contained(rows.select("text"), windows, shingle), "places")
+    places = staged(contained(rows.select(F.col("_text").alias("text")), windows, shingle), "places")
     ids = windows.groupBy("window").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
     place = F.struct("start", "w", "window", "ids")
     by_text = places.join(ids, "window").groupBy("key").agg(F.sort_array(F.collect_list(place)).alias("_places"))
-    by_text = staged(by_text, "places-by-text")
+    by_text = staged(by_text.withColumnRenamed("key", "_key"), "places-by-text")
     few = places.limit(BROADCAST_PLACES + 1).count() <= BROADCAST_PLACES
-    n_words = F.size(_split(F.col("text"), _NO_WORD_ANY_CASE)).cast("long")
-    found = rows.withColumn("key", _text_key(F.col("text"))).join(F.broadcast(by_text) if few else by_text, "key", "left")
-    lowered = F.when(F.col("_places").isNotNull(), _split(lower_ascii(F.col("text")), _NO_WORD))
+    n_words = F.size(_split(F.col("_text"), _NO_WORD_ANY_CASE)).cast("long")
+    found = rows.withColumn("_key", _text_key(F.col("_text"))).join(F.broadcast(by_text) if few else by_text, "_key", "left")
+    lowered = F.when(F.col("_places").isNotNull(), _split(lower_ascii(F.col("_text")), _NO_WORD))
     found = found.select(*keep, n_words.alias("n_words"), "_places", lowered.alias("_words"))
     # Up to here shingles were compared by hash; now the words themselves are.
     spelled = F.filter("_places", lambda p: F.array_join(F.slice("_words", p["start"] + 1, p["w"]), " ") == p["window"])
