@@ -7,6 +7,8 @@ import re
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 from tests.comparison import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
@@ -30,17 +32,18 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_oracle(spark, connection, name):
     rows, only_spark, only_oracle = compare(queries()[name](spark, FOLDER), connection, oracle_sql()[name])
     assert rows > 0
     assert not only_spark and not only_oracle, (only_spark.most_common(2), only_oracle.most_common(2))
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITERS))
 def test_plan_rules(spark, name):
     """No cross or nested-loop join, no Python in a plan, no hinted broadcast, no window over a whole table."""
     execution = queries()[name](spark, FOLDER)._jdf.queryExecution()
