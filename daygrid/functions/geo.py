@@ -35,6 +35,12 @@ def cell_key(lat: Column, lon: Column) -> Column:
     return F.concat(lat.cast("string"), F.lit(","), lon.cast("string"))
 
 
+def cell_position(key: Column) -> list[Column]:
+    """``lat`` and ``lon`` of a cell key; a double's text reads back as the same double."""
+    degrees = F.split(key, ",")
+    return [F.get(degrees, F.lit(i)).cast("double").alias(name) for i, name in enumerate(("lat", "lon"))]
+
+
 def great_circle_km(
     lat_a: Column,
     lon_a: Column,

@@ -40,6 +40,11 @@ def lenient_double(text: Column) -> Column:
     return F.regexp_extract(text, NUMBER_PATTERN, 0).try_cast("double")
 
 
+def number_or_nan(text: Column) -> Column:
+    """Like ``lenient_double``, with NaN as a value of its own."""
+    return F.coalesce(lenient_double(text), F.when(text.rlike(r"^\s*[+-]?(?i:nan)\s*$"), F.lit(float("nan"))))
+
+
 def missing_to_null(text: str, tokens: Iterable[str] = fixed.NA_TOKENS) -> str:
     """SQL for: NULL where the field holds one of the words that mean "missing"; any other text as it is."""
     return f"CASE WHEN {text} NOT IN ({sql_list(tokens)}) THEN {text} END"

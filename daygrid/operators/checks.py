@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrid import fixed_values as fixed
+from daygrid.functions.text import number_or_nan
 from daygrid.functions.geo import Grid
 
 
@@ -128,7 +129,7 @@ def count_per_key(
     Values are parsed in a projection below the aggregate, once per row however many conditions use them.
     """
     parsed = observations.withColumns(
-        {f"_{name}_value": F.col(name).try_cast("double") for name in rules.parsed if name in observations.columns}
+        {f"_{name}_value": number_or_nan(F.col(name)) for name in rules.parsed if name in observations.columns}
     )
     return parsed.groupBy(key).agg(*[F.count_if(condition).alias(name) for name, condition in counts.items()])
 

@@ -76,11 +76,15 @@ def failure_cutoff(
     and including it) and ``locations`` (all rows).
 
     A run may be the whole log, so no task scans one from end to end. Rows are cut into chunks that follow the order
-    (``chunk``: any expression that never decreases with it; by default ``order`` divided by ``CHUNK``). Windows run
+    (``chunk``: any expression that never decreases with it; by default ranges of ``CHUNK`` rows). Windows run
     inside a chunk; each chunk is reduced to one row with its leading and trailing failures, and only these rows are
     scanned per run to carry a streak over the seams.
     """
-    chunk = F.floor(F.col(order) / CHUNK) if chunk is None else chunk
+    if chunk is None:
+        # Ranges of (run, order) with about CHUNK rows each, however sparse the order's values are.
+        ranges = -(-log.count() // CHUNK)
+        log = log.repartitionByRange(max(ranges, 1), *run, order)
+        chunk = F.spark_partition_id()
     log = log.select(*run, F.col(order).alias("_at"), F.col(succeeded).alias("_ok"), chunk.alias("_chunk"))
 
     inside = Window.partitionBy(*run, "_chunk").orderBy("_at")

@@ -37,6 +37,7 @@ def create_observation_table(
     stands_in_for: str | None = None,
     location: str | None = None,
 ) -> bool:
+    """``PartitionBy.month_and_bucket()`` is the layout for a table that often gains cells; pass it to every load too."""
     partition_by = partition_by or PartitionBy()
     return create_table(
         spark, table, OBSERVATION_SCHEMA, TABLE_COMMENT, partition_by.schema, stands_in_for, location
@@ -61,7 +62,13 @@ class LoadResult:
     locations: int
     failed_locations: int
     failed: DataFrame
-    """``cell_key, problem, rows`` of everything refused. It grows with the input and stays on the cluster."""
+    """``cell_key, problem, rows`` of everything refused. It grows with the input and stays on the cluster until ``close``."""
+    failed_at: str = ""
+
+    def close(self) -> None:
+        """Delete the stored ``failed`` rows; it cannot be read afterwards."""
+        if self.failed_at:
+            delete_work_folder(self.failed.sparkSession, self.failed_at)
 
     def raise_if_failed(self, shown: int = 20) -> None:
         """Report the refused locations of a finished load. The good ones are stored by then."""
@@ -69,6 +76,9 @@ class LoadResult:
             return
         sample = self.failed.orderBy("cell_key", "problem").limit(shown).collect()
         lines = "".join(f"\n  key={row['cell_key']}: {row['problem']}" for row in sample)
+        problems = self.failed.count()
+        if problems > len(sample):
+            lines += f"\n  (the first {len(sample)} of {problems} problems; all of them are in `failed`)"
         raise RuntimeError(f"{self.failed_locations} location(s) failed; a rerun fetches what is missing.{lines}")
 
 
@@ -81,6 +91,7 @@ def load_records(
     wanted: Sequence[str] = RESPONSE_COLUMNS,
     newest_by: str | None = None,
     failed_before: DataFrame | None = None,
+    answered: DataFrame | None = None,
 ) -> LoadResult:
     """Normalise records, refuse the bad ones and upsert the rest.
 
@@ -88,43 +99,75 @@ def load_records(
     is the costly part and feeds the upsert and the report, so its result is written once to the shared folder, where
     a lost executor finds it again. A column that a response does not deliver keeps its stored values.
 
-    ``newest_by`` names a record column that orders deliveries: when several hold the same day of a cell, the newest
-    row is loaded, as it would win if they were loaded one by one. Without it such a day fails the load.
-    ``failed_before`` (``cell_key, problem``) names locations that never got as far as a response to parse.
+    ``newest_by`` names a record column that orders deliveries: when several hold the same day of a cell, each column
+    is taken from the newest one that has it, as if they were loaded one by one. Without it the location is refused.
+    ``failed_before`` (``cell_key, problem``) names locations that never got as far as a response to parse, and
+    ``answered`` (``cell_key``) all that the summary is to count, with records or without.
     """
     parsed_at, failed_at = new_work_folder(spark, "parsed"), new_work_folder(spark, "refused")
     placed = F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("cell_key").isNotNull()
     judged = responses.normalise(records, wanted).withColumn(
         "problem", F.coalesce("problem", F.when(~placed, "a row lacks its key or position"))
     )
-    judged.write.parquet(parsed_at)
-    parsed = spark.read.schema(judged.schema).parquet(parsed_at)
-
-    failed = responses.refused(parsed).select("cell_key", "problem")
-    if failed_before is not None:
-        failed = failed.unionByName(failed_before.select("cell_key", "problem"))
-    failed = failed.groupBy("cell_key", "problem").agg(F.count(F.lit(1)).alias("rows"))
-    failed.write.parquet(failed_at)
-    failed = spark.read.schema(failed.schema).parquet(failed_at)
-
-    data = [name for name in OBSERVATION_SCHEMA.names if name not in (*KEYS, *_STAMPS)] + ["absent"]
-    incoming = responses.accepted(parsed)
-    if newest_by and repeated_keys(incoming).first() is not None:
-        newest = F.max(F.struct(newest_by, *data)).alias("newest")
-        incoming = incoming.groupBy(*KEYS).agg(newest).select(*KEYS, *[f"newest.{name}" for name in data])
-    else:
-        incoming = incoming.select(*KEYS, *data)
-    merge_staged(spark, incoming, table, run_ts=run_ts, partition_by=partition_by, absent="absent")
-
-    per_location = (
-        parsed.select("cell_key", F.col("problem").isNull().cast("long").alias("stored"), F.lit(0).alias("refused"))
-        .unionByName(failed.select("cell_key", F.lit(0).cast("long").alias("stored"), F.lit(1).alias("refused")))
-        .groupBy("cell_key")
-        .agg(F.sum("stored").alias("stored"), F.max("refused").alias("refused"))
+    try:
+        judged.write.parquet(parsed_at)
+        parsed = spark.read.schema(judged.schema).parquet(parsed_at)
+        doubled = repeated_keys(responses.accepted(parsed))
+        any_doubled = doubled.first() is not None
+        if any_doubled and not newest_by:
+            parsed = _refuse_doubled(parsed, doubled)
+
+        failed = responses.refused(parsed).select("cell_key", "problem")
+        if failed_before is not None:
+            failed = failed.unionByName(failed_before.select("cell_key", "problem"))
+        failed = failed.groupBy("cell_key", "problem").agg(F.count(F.lit(1)).alias("rows"))
+        failed.write.parquet(failed_at)
+        failed = spark.read.schema(failed.schema).parquet(failed_at)
+
+        incoming = responses.accepted(parsed)
+        data = [name for name in OBSERVATION_SCHEMA.names if name not in (*KEYS, *_STAMPS)]
+        if any_doubled and newest_by:
+            incoming = _newest_delivery(incoming, doubled, newest_by, data)
+        merge_staged(spark, incoming.select(*KEYS, *data, "absent"), table, run_ts=run_ts, partition_by=partition_by, absent="absent")
+
+        stored, refused = F.col("problem").isNull().cast("long").alias("stored"), F.lit(0).alias("refused")
+        per_location = parsed.select("cell_key", stored, refused).unionByName(
+            failed.select("cell_key", F.lit(0).cast("long").alias("stored"), F.lit(1).alias("refused"))
+        )
+        if answered is not None:
+            per_location = per_location.unionByName(
+                answered.select("cell_key", F.lit(0).cast("long").alias("stored"), refused)
+            )
+        per_location = per_location.groupBy("cell_key").agg(F.sum("stored").alias("stored"), F.max("refused").alias("refused"))
+        totals = run_summary(per_location, F.col("refused") > 0, F.col("stored")).first()
+    except BaseException:
+        delete_work_folder(spark, failed_at)
+        raise
+    finally:
+        delete_work_folder(spark, parsed_at)
+    return LoadResult(totals["rows_upserted"], totals["locations"], totals["failed_locations"], failed, failed_at)
+
+
+def _refuse_doubled(parsed: DataFrame, doubled: DataFrame) -> DataFrame:
+    """All rows of a location that delivers a day twice get that as their problem."""
+    reason = F.concat(F.lit("a day comes more than once: "), F.min("date").cast("string"))
+    bad = doubled.groupBy("cell_key").agg(reason.alias("_doubled"))
+    joined = parsed.join(bad, "cell_key", "left")
+    return joined.withColumn("problem", F.coalesce("problem", "_doubled")).select(*parsed.columns)
+
+
+def _newest_delivery(incoming: DataFrame, doubled: DataFrame, newest_by: str, data: Sequence[str]) -> DataFrame:
+    """One row per key: each column from the newest delivery that has it. Keys that come once pass as they are."""
+    incoming = incoming.select(*KEYS, *data, "absent", newest_by)
+    once = incoming.join(doubled, list(KEYS), "left_anti").select(*KEYS, *data, "absent")
+    # Within one delivery the largest row counts.
+    rows = incoming.join(doubled.select(*KEYS), list(KEYS)).withColumn("_order", F.struct(newest_by, *data))
+    has = {name: ~F.array_contains("absent", name) for name in data}
+    picked = rows.groupBy(*KEYS).agg(
+        *[F.max_by(name, F.when(has[name], F.col("_order"))).alias(name) for name in data],
+        F.array_compact(F.array(*[F.when(~F.bool_or(has[name]), F.lit(name)) for name in data])).alias("absent"),
     )
-    totals = run_summary(per_location, F.col("refused") > 0, F.col("stored")).first()
-    delete_work_folder(spark, parsed_at)
-    return LoadResult(totals["rows_upserted"], totals["locations"], totals["failed_locations"], failed)
+    return once.unionByName(picked)
 
 
 def load_landed_files(
@@ -137,7 +180,8 @@ def load_landed_files(
 ) -> LoadResult:
     """Load every response file under ``path/cell_key=<key>/``."""
     records = responses.read_landed(spark, path, RESPONSE_COLUMNS, whole_file_bytes=whole_file_bytes)
-    return load_records(spark, records, table, run_ts, partition_by, newest_by="landed")
+    answered = responses.landed_files(spark, path).select("cell_key").distinct()
+    return load_records(spark, records, table, run_ts, partition_by, newest_by="landed", answered=answered)
 
 
 def load_attempts(
@@ -155,10 +199,13 @@ def load_attempts(
     outcomes = fetch_outcomes(judged.withColumn("body_ok", F.col("problem").isNull()), ["cell_key"])
     is_accepted = F.col("outcome") == ACCEPTED
     chosen = outcomes.where(is_accepted).select("cell_key", F.col("attempts_used").alias("attempt"))
+    # An attempt that was logged twice is one attempt; with two different bodies its location is refused below.
     bodies = attempts.where(F.col("status") == 200).join(chosen, ["cell_key", "attempt"])
+    bodies = bodies.dropDuplicates(["cell_key", "attempt", "body"])
     status = F.coalesce(F.col("last_status").cast("string"), F.lit("none"))
     failed = outcomes.where(~is_accepted).select(
         "cell_key", F.concat("outcome", F.lit(", status "), status).alias("problem")
     )
     records = responses.split_bodies(bodies.select("cell_key", "body"), RESPONSE_COLUMNS)
-    return load_records(spark, records, table, run_ts, partition_by, failed_before=failed)
+    answered = attempts.select("cell_key").distinct()
+    return load_records(spark, records, table, run_ts, partition_by, failed_before=failed, answered=answered)

@@ -40,6 +40,18 @@ def delete_work_folder(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def empty_files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Path and modification time (milliseconds) of files without bytes; Spark's own listings leave them out.
+
+    The names are listed on the driver, as every file scan does; only the empty files' names are kept.
+    """
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob) or ()
+    empty = [status for status in found if status.getLen() == 0 and not status.isDirectory()]
+    named = [(status.getPath().toString(), status.getPath().getName(), status.getModificationTime()) for status in empty]
+    return [(path, changed) for path, name, changed in named if not name.startswith(("_", "."))]
+
+
 @contextmanager
 def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
     """Session settings for the length of a block, then as they were."""

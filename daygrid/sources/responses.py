@@ -23,6 +23,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from daygrid import fixed_values as fixed
 from daygrid.contracts import require_columns
 from daygrid.functions.text import csv_fields, has_open_quote, lenient_double, missing_to_null, sql_list, text_array
+from daygrid.session import empty_files
 
 # Largest landed file that is read as one row. Larger files are read line by line.
 WHOLE_FILE_BYTES = 32 * 1024 * 1024
@@ -162,7 +163,7 @@ def split_files(
         lines.groupBy(key, "landed")
         .agg(
             F.min_by("line", content_place).alias("header_line"),
-            F.min(content_place)["block"].alias("header_block"),
+            F.min(content_place).alias("header_place"),
             F.max(F.when(content_place.isNotNull(), F.size(csv_fields(F.col("line"))))).alias("widest"),
             F.bool_or(content_place.isNotNull() & has_open_quote(F.col("line"))).alias("open_quote"),
         )
@@ -171,7 +172,7 @@ def split_files(
             key,
             "landed",
             "header_line",
-            "header_block",
+            "header_place",
             *_layout(F.col("names"), wanted),
             F.coalesce(
                 _header_problem(F.col("header_line"), required),
@@ -182,11 +183,10 @@ def split_files(
         )
     )
     good_heads = heads.where(F.col("problem").isNull()).drop(key)
-    is_header = (F.col("line") == F.col("header_line")) & (F.col("place.block") == F.col("header_block"))
     records = (
         lines.where(_is_content(F.col("line")))
         .join(good_heads, "landed")
-        .where(~is_header)
+        .where(F.col("place") != F.col("header_place"))  # a later line that repeats the header is data, and refused
         .select(key, "landed", "positions", "absent", "problem", csv_fields(F.col("line")).alias("fields"))
     )
     bad = heads.where(F.col("problem").isNotNull()).select(
@@ -195,6 +195,26 @@ def split_files(
     return records.unionByName(bad)
 
 
+def landed_files(spark: SparkSession, path: str, key: str = "cell_key") -> DataFrame:
+    """``key, landed, bytes`` of every landed file, empty ones too. Only the listing is read."""
+    files = spark.read.format("binaryFile").load(path).select("path", "modificationTime", "length")
+    return _landed(files.unionAll(_empty_files(spark, path, key)), key)
+
+
+def _landed(files: DataFrame, key: str) -> DataFrame:
+    name = F.regexp_extract("path", rf"/{key}=([^/]*)/", 1)
+    return files.select(
+        F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias(key),
+        F.struct(F.col("modificationTime").alias("file_modification_time"), F.col("path").alias("file_path")).alias("landed"),
+        F.col("length").alias("bytes"),
+    )
+
+
+def _empty_files(spark: SparkSession, path: str, key: str) -> DataFrame:
+    found = spark.createDataFrame(empty_files(spark, f"{path.rstrip('/')}/{key}=*/*"), "path string, changed long")
+    return found.select("path", F.timestamp_millis("changed").alias("modificationTime"), F.lit(0).cast("long").alias("length"))
+
+
 def read_landed(
     spark: SparkSession,
     path: str,
@@ -206,13 +226,16 @@ def read_landed(
 ) -> DataFrame:
     """Records of every landed file, with ``landed`` telling which file is newer.
 
-    File size decides the reader; the size test prunes files before any is opened.
+    File size decides the reader; the size test prunes files before any is opened. The text readers return nothing for a
+    file without bytes, so those are taken from the listing and refused.
     """
     small = (
         _landed_text(spark, path, key, whole=True)
         .where(F.col("_metadata.file_size") <= whole_file_bytes)
         .select(key, landed_order(), F.col("value").alias("body"))
     )
+    empty = _landed(_empty_files(spark, path, key), key).select(key, "landed", F.lit("").alias("body"))
+    small = small.unionAll(empty)
     return split_bodies(small, wanted, "body", required, ignored).unionByName(
         split_files(spark, path, wanted, key, required, ignored, larger_than=whole_file_bytes)
     )

@@ -28,7 +28,7 @@ def load_landing_folder(
 
     The stream's log remembers which files were read, so no landed file is parsed twice. A batch that is repeated after
     a crash is harmless: the upsert gives the same rows again. When files of one batch hold the same day of a location,
-    the newest file wins.
+    each column comes from the newest file that has it.
     """
     schema = StructType([StructField("value", StringType()), StructField("cell_key", StringType())])
     landed = (
@@ -43,6 +43,7 @@ def load_landing_folder(
         result = load_records(spark, records, table, partition_by=partition_by, newest_by="landed")
         if on_batch is not None:
             on_batch(batch_id, result)
+        result.close()
 
     return (
         landed.writeStream.foreachBatch(load)

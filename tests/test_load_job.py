@@ -138,13 +138,50 @@ def test_landed_files_and_the_newest_copy_of_a_day(spark, tmp_path, table, whole
     assert (result.locations, result.failed_locations) == (2, 1)
 
 
-def test_a_day_that_comes_twice_in_one_log_fails_before_anything_is_written(spark, table):
-    attempts = spark.createDataFrame(
-        [("k", 1, 200, response([1, 1]))], "cell_key string, attempt int, status int, body string"
-    )
-    with pytest.raises(ValueError, match="more than once: k, 2024-01-01"):
-        load_job.load_attempts(spark, attempts, table, T1)
-    assert spark.table(table).isEmpty()
+def test_a_location_that_repeats_a_day_is_refused_and_a_repeated_attempt_is_one(spark, table):
+    rows = [("twice", 1, 200, response([1, 1])), ("fine", 1, 200, response([1])), ("fine", 1, 200, response([1]))]
+    attempts = spark.createDataFrame(rows, "cell_key string, attempt int, status int, body string")
+    result = load_job.load_attempts(spark, attempts, table, T1)
+    assert values(spark, table) == {("fine", 1)}
+    assert (result.locations, result.failed_locations, result.rows_upserted) == (2, 1, 1)
+    assert [r.problem for r in result.failed.collect()] == ["a day comes more than once: 2024-01-01"]
+    result.close()
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_columns_of_an_older_file_survive_whatever_the_batches(spark, tmp_path, table, together):
+    older = response([1], rain="1", header=HEADER + ",mslp", tail=",1010")
+    for number, (text, mtime) in enumerate([(older, 1_700_000_000), (response([1], rain="2"), 1_700_000_100)]):
+        folder = tmp_path if together else tmp_path / str(number)
+        land(folder, DUBBO, f"{number}.csv", text, mtime)
+        if not together:
+            load_job.load_landed_files(spark, str(folder), table, T1).close()
+    if together:
+        load_job.load_landed_files(spark, str(tmp_path), table, T1).close()
+    assert values(spark, table, "daily_rain", "mslp") == {(DUBBO, 1, "2", "1010")}
+
+
+def test_files_without_content_are_refused_and_counted(spark, tmp_path, table):
+    land(tmp_path, DUBBO, "good.csv", response([1]), 1_700_000_000)
+    land(tmp_path, CANBERRA, "empty.csv", "", 1_700_000_000)
+    land(tmp_path, "1.0,2.0", "header.csv", HEADER + "\n", 1_700_000_000)
+    result = load_job.load_landed_files(spark, str(tmp_path), table, T1)
+    assert (result.locations, result.failed_locations, result.rows_upserted) == (3, 1, 1)
+    assert [(r.cell_key, r.problem) for r in result.failed.collect()] == [(CANBERRA, "no content")]
+
+
+def test_no_work_folder_is_left_and_no_setting_changed(spark, table):
+    shared = spark.conf.get("spark.checkpoint.dir")
+
+    def folders():
+        return {f for f in os.listdir(shared) if f.startswith(("parsed-", "refused-", "upsert-"))} if os.path.isdir(shared) else set()
+
+    before, mode = folders(), spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    attempts = spark.createDataFrame([("k", 1, 200, response([1]))], "cell_key string, attempt int, status int, body string")
+    load_job.load_attempts(spark, attempts, table, T1).close()
+    with pytest.raises(Exception):
+        load_job.load_attempts(spark, attempts, "no_such_table", T1)
+    assert folders() == before and spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
 
 
 def test_stream_loads_each_file_once(spark, tmp_path, table):

@@ -82,6 +82,16 @@ def test_text_order_with_a_prefix_as_chunk(spark):
     assert tuple(found.first()) == ("bb", 4, 3, 6)
 
 
+def test_sparse_positions_share_chunks(spark, monkeypatch):
+    """Chunks hold rows, not stretches of the order's values."""
+    monkeypatch.setattr("daygrid.operators.outcomes.CHUNK", 50)
+    results = [n % 9 != 0 and n % 7 != 0 for n in range(400)] + [False] * 5 + [True] * 40
+    log = spark.createDataFrame([("r", n * 1_000_003, ok) for n, ok in enumerate(results)], RUN_LOG)
+    found = failure_cutoff(log, ["run"], "position", "ok", 5).first()
+    stopped, attempted, failed, locations = stop_by_hand(results, 5)
+    assert tuple(found)[1:] == (stopped * 1_000_003, attempted, failed, locations)
+
+
 def test_no_window_spans_a_run(spark):
     """Row-level windows stay inside a chunk; the only run-wide ones see a row per chunk."""
     log = spark.createDataFrame([("r", 1, True)], RUN_LOG)

@@ -105,7 +105,8 @@ def land(tmp_path, texts):
 def test_both_file_readers_agree(spark, tmp_path):
     other = "# note\n\nYYYY-MM-DD,radiation,vp,min_temp,max_temp,daily_rain,longitude,latitude\n1990-01-01,1,2,3,4,5,6,7\n"
     texts = {"-1.0,2.0": GOOD, "-1.05,2.0": other, "007": GOOD.replace("\n", "\r\n")}
-    texts |= {f"bad{i}": text for i, text in enumerate(BAD) if text}
+    texts |= {f"bad{i}": text for i, text in enumerate(BAD)}
+    texts["repeated header"] = GOOD + GOOD  # the second header is a row, and a bad one
     land(tmp_path, texts)
     results = []
     for whole_file_bytes in (10**6, 0, 300):  # whole, by line, some of each
@@ -113,7 +114,7 @@ def test_both_file_readers_agree(spark, tmp_path):
         observed = responses.normalise(records, WANTED).drop("landed")
         results.append(sorted(map(str, observed.collect())))
     assert results[0] == results[1] == results[2]
-    assert len(results[0]) == 2 + 1 + 2 + 5
+    assert len(results[0]) == 2 + 1 + 2 + len(BAD) + 5
     keys = {r.cell_key for r in responses.read_landed(spark, str(tmp_path), WANTED).select("cell_key").collect()}
     assert keys == set(texts)  # keys stay text: no "7" for "007"
 

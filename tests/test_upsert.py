@@ -161,3 +161,18 @@ def test_replace_table_counts_and_gates(spark):
     assert spark.table(table).count() == 1
     with pytest.raises(PySparkException, match="created_at"):
         replace_table(stored(spark), table, ["created_at"])
+
+
+def test_a_new_cell_rewrites_only_its_bucket(spark):
+    layout, table = PartitionBy.month_and_bucket(4), f"bucketed_{uuid.uuid4().hex}"
+    create_table(spark, table, TARGET, "Months split by buckets of the key", layout.schema)
+    days = (D1, D2, D3)
+    first = spark.createDataFrame([(f"c{i}", day, "1") for i in range(12) for day in days], SOURCE)
+    upsert_table(spark, first, table, run_ts=T1, partition_by=layout)
+    before = set(spark.table(table).inputFiles())
+    new = spark.createDataFrame([("new", day, "2") for day in days], SOURCE)
+    assert upsert_table(spark, new, table, run_ts=T2, partition_by=layout).partitions == 3
+    after = set(spark.table(table).inputFiles())
+    bucket = layout.add_to(new).first()["bucket"]
+    assert all(f"bucket={bucket}" in file for file in before ^ after) and before & after
+    assert spark.table(table).count() == 39
