@@ -19,6 +19,7 @@ WRITERS = {
     "landed_files",
     "landed_files_by_line",
     "obs_upsert_table",
+    "backfill_by_bucket",
     "daily_load",
     "landed_load",
     "streamed_load",

@@ -158,6 +158,7 @@ UNION ALL
 SELECT s.cell_key, CAST(s.date AS VARCHAR), s.quantity, s.flag, NULL, '2024-03-01 00:00:00', '2024-03-01 00:00:00'
 FROM {source} s WHERE NOT EXISTS (SELECT 1 FROM {target} t WHERE s.cell_key = t.cell_key AND s.date = t.date)"""
 ORACLE["obs_upsert_table"] = ORACLE["obs_upsert"]
+ORACLE["backfill_by_bucket"] = ORACLE["obs_upsert"]
 ORACLE["obs_upsert_rerun"] = f"""SELECT u.* REPLACE (CASE WHEN updated_at = '2024-03-01 00:00:00'
     THEN '2024-03-02 00:00:00' ELSE updated_at END AS updated_at) FROM ({ORACLE["obs_upsert"]}) u"""
 
@@ -302,3 +303,5 @@ SELECT {keys}min(CASE WHEN stops THEN position END) AS stopped_at,
 
 ORACLE["failure_cutoff"] = _cutoff("run_day", 3)
 ORACLE["failure_cutoff_one_run"] = _cutoff("", 5)
+
+ORACLE["failure_cutoff_sparse"] = ORACLE["failure_cutoff"]

@@ -351,6 +351,17 @@ def obs_upsert_table(spark, folder):
     return spark.table(table).drop("year")
 
 
+@query
+def backfill_by_bucket(spark, folder):
+    """The same upsert into months split by buckets of the key, the layout for cells that arrive with a long history."""
+    target, source = for_spark(spark, folder, "upsert_target"), for_spark(spark, folder, "upsert_source")
+    layout, table = PartitionBy.month_and_bucket(4), f"bucketed_{uuid.uuid4().hex}"
+    create_table(spark, table, target.schema, partition_by=layout.schema, location=new_work_folder(spark, "table"))
+    upsert_table(spark, target, table, run_ts=_at(FIRST_RUN), partition_by=layout)
+    upsert_table(spark, source, table, run_ts=_at(SECOND_RUN), partition_by=layout)
+    return spark.table(table).drop(*layout.columns)
+
+
 @query
 def not_null_gate(spark, folder):
     rows = for_spark(spark, folder, "observations")
@@ -523,6 +534,14 @@ def failure_cutoff_one_run(spark, folder):
     return outcomes.failure_cutoff(log, [], "position", "succeeded", threshold=5)
 
 
+@query
+def failure_cutoff_sparse(spark, folder):
+    """Runs whose positions lie far apart: chunks hold rows, so the gaps between positions do not matter."""
+    log = for_spark(spark, folder, "run_log").withColumn("position", F.col("position") * 1_000_003)
+    found = outcomes.failure_cutoff(log, ["run_day"], "position", "succeeded")
+    return found.withColumn("stopped_at", F.expr("stopped_at div 1000003"))
+
+
 @query
 def run_summary(spark, folder):
     attempts = for_spark(spark, folder, "attempts")
