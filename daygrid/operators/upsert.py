@@ -16,6 +16,8 @@ from daygrid.session import delete_work_folder, new_work_folder
 
 KEYS = ("cell_key", "date")
 REPEATED_KEY = "upsert source holds a key more than once"
+# Shares of a month in the default layout; a table keeps the number it was created with.
+BUCKETS = 16
 
 # Inserting into a table takes the overwrite mode from the session, not from the writer. The second setting is the
 # HotSpot limit above which a method is never compiled: a wide row's generated code passes it, and Spark then does
@@ -101,25 +103,34 @@ def upsert(
     return joined.selectExpr(*[result(name) for name in target.columns])
 
 
+def _by_month() -> dict[str, Column]:
+    return {"month": F.date_format("date", "yyyy-MM")}
+
+
+def _by_bucket(buckets: int = BUCKETS, key: str = "cell_key") -> dict[str, Column]:
+    return {"bucket": F.lpad(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"), 4, "0")}
+
+
 @dataclass(frozen=True)
 class PartitionBy:
     """Partition columns derived from the key, so that an upsert knows which partitions it touches.
 
-    The default is the month of the date. A daily run refreshes the last 30 days of *every* key: by month it rewrites
-    two or three partitions, where directories per key would make it rewrite all of them.
+    The default is the month of the date, split by a hash of the key. A daily run refreshes the last 30 days of *every*
+    key: by month it rewrites two or three months, where directories per key would make it rewrite all of them. A new
+    cell's whole history, or an old gap, rewrites one bucket of each month instead of the table.
     """
 
-    columns: dict[str, Column] = field(default_factory=lambda: {"month": F.date_format("date", "yyyy-MM")})
+    columns: dict[str, Column] = field(default_factory=lambda: {**_by_month(), **_by_bucket()})
+
+    @classmethod
+    def month(cls) -> PartitionBy:
+        """Months alone, for tables so small that buckets would only make small files."""
+        return cls(_by_month())
 
     @classmethod
-    def month_and_bucket(cls, buckets: int = 16, key: str = "cell_key") -> PartitionBy:
-        """Months split by a hash of the key. A new cell's whole history then rewrites 1/``buckets`` of the table.
-
-        For tables that often gain cells or have old gaps filled. The daily refresh costs the same as by month; the table
-        has ``buckets`` times as many directories.
-        """
-        bucket = F.lpad(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"), 4, "0")
-        return cls({"month": F.date_format("date", "yyyy-MM"), "bucket": bucket})
+    def month_and_bucket(cls, buckets: int = BUCKETS, key: str = "cell_key") -> PartitionBy:
+        """The default layout with another number of buckets; the daily refresh costs the same whatever it is."""
+        return cls({**_by_month(), **_by_bucket(buckets, key)})
 
     @property
     def schema(self) -> StructType:

@@ -28,6 +28,7 @@ RESPONSE_COLUMNS = (
     *[name for variable in fixed.DAILY_VARIABLES for name in (variable, f"{variable}_source")],
 )
 _STAMPS = ("created_at", "updated_at")
+UNANSWERED = "planned, but nothing came back"
 
 
 def create_observation_table(
@@ -37,7 +38,7 @@ def create_observation_table(
     stands_in_for: str | None = None,
     location: str | None = None,
 ) -> bool:
-    """``PartitionBy.month_and_bucket()`` is the layout for a table that often gains cells; pass it to every load too."""
+    """A layout other than the default is chosen here once, and then passed to every load too."""
     partition_by = partition_by or PartitionBy()
     return create_table(
         spark, table, OBSERVATION_SCHEMA, TABLE_COMMENT, partition_by.schema, stands_in_for, location
@@ -177,11 +178,21 @@ def load_landed_files(
     run_ts: datetime | Column | None = None,
     partition_by: PartitionBy | None = None,
     whole_file_bytes: int = responses.WHOLE_FILE_BYTES,
+    requests: DataFrame | None = None,
 ) -> LoadResult:
-    """Load every response file under ``path/cell_key=<key>/``."""
+    """Load every response file under ``path/cell_key=<key>/``; ``requests`` are those planned, as in ``load_attempts``."""
     records = responses.read_landed(spark, path, RESPONSE_COLUMNS, whole_file_bytes=whole_file_bytes)
     answered = responses.landed_files(spark, path).select("cell_key").distinct()
-    return load_records(spark, records, table, run_ts, partition_by, newest_by="landed", answered=answered)
+    failed = _unanswered(requests, answered) if requests is not None else None
+    return load_records(
+        spark, records, table, run_ts, partition_by, newest_by="landed", failed_before=failed, answered=answered
+    )
+
+
+def _unanswered(requests: DataFrame, answered: DataFrame) -> DataFrame:
+    """``cell_key, problem`` of every planned location that nothing came back for."""
+    planned = requests.select("cell_key").distinct()
+    return planned.join(answered, "cell_key", "left_anti").select("cell_key", F.lit(UNANSWERED).alias("problem"))
 
 
 def load_attempts(
@@ -190,10 +201,12 @@ def load_attempts(
     table: str,
     run_ts: datetime | Column | None = None,
     partition_by: PartitionBy | None = None,
+    requests: DataFrame | None = None,
 ) -> LoadResult:
     """Load a log of fetch attempts: ``cell_key, attempt, status, body``.
 
-    The deciding attempt of each location is found first; only bodies of accepted attempts are parsed.
+    The deciding attempt of each location is found first; only bodies of accepted attempts are parsed. ``requests``
+    (``cell_key``) are those planned: a location among them that the log does not have has failed.
     """
     judged = responses.judge_bodies(attempts)
     outcomes = fetch_outcomes(judged.withColumn("body_ok", F.col("problem").isNull()), ["cell_key"])
@@ -208,4 +221,6 @@ def load_attempts(
     )
     records = responses.split_bodies(bodies.select("cell_key", "body"), RESPONSE_COLUMNS)
     answered = attempts.select("cell_key").distinct()
+    if requests is not None:
+        failed = failed.unionByName(_unanswered(requests, answered))
     return load_records(spark, records, table, run_ts, partition_by, failed_before=failed, answered=answered)

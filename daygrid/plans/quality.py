@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import AnalysisException, ArithmeticException, DateTimeException, NumberFormatException, SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,6 +19,8 @@ from daygrid.operators import checks as rules_
 from daygrid.operators.gaps import gap_report, key_ranges
 
 SAMPLE_ROWS = 20
+#: What a check's own plan or data can raise, as opposed to a lost cluster.
+_OWN_FAULTS = (AnalysisException, ArithmeticException, DateTimeException, NumberFormatException, SparkRuntimeException)
 
 
 @dataclass(frozen=True)
@@ -96,13 +99,14 @@ class QualityGate:
     def run(self, checks: Sequence[Check]) -> list[tuple[str, str, int | None]]:
         """Run a suite in one job and record every failure in the suite's order.
 
-        A check that cannot run at all (say, an absent column) must not hide the others: if the one job fails, each
-        check runs alone and the broken ones are recorded as failed, with ``None`` violations.
+        A check that cannot run at all (say, an absent column) must not hide the others: if the one job fails by a
+        fault of a check, each check runs alone and the broken ones are recorded as failed, with ``None`` violations.
+        Any other failure, such as a lost cluster, is raised.
         """
         try:
             counted = {row["check_no"]: row["violations"] for row in report(checks).collect()}
             errors: dict[str, str] = {}
-        except Exception:
+        except _OWN_FAULTS:
             counted, errors = self._run_apart(checks)
         skipped = {number for check in checks if counted.get(check.number) for number in check.skips}
         results = []
@@ -125,7 +129,7 @@ class QualityGate:
         for check in checks:
             try:
                 counted[check.number] = report([check]).first()["violations"]
-            except Exception as failure:  # noqa: BLE001 - whatever broke the check is its result
+            except _OWN_FAULTS as failure:
                 errors[check.number] = str(failure).splitlines()[0]
         return counted, errors
 

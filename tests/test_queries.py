@@ -21,6 +21,7 @@ WRITERS = {
     "obs_upsert_table",
     "backfill_by_bucket",
     "daily_load",
+    "load_summary",
     "landed_load",
     "streamed_load",
 }

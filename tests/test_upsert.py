@@ -102,25 +102,27 @@ def new_table(spark, schema=TARGET, partition_by=None):
 
 
 def test_table_upsert(spark):
-    table = new_table(spark)
-    first = upsert_table(spark, stored(spark).drop("created_at", "updated_at"), table, run_ts=T0)
+    layout = PartitionBy.month()
+    table = new_table(spark, partition_by=layout)
+    first = upsert_table(spark, stored(spark).drop("created_at", "updated_at"), table, run_ts=T0, partition_by=layout)
     assert (first.incoming_rows, first.partitions) == (3, 2)
-    second = upsert_table(spark, delivered(spark), table, run_ts=T1)
+    second = upsert_table(spark, delivered(spark), table, run_ts=T1, partition_by=layout)
     assert (second.incoming_rows, second.partitions) == (3, 3)
     after = {tuple(r) for r in spark.table(table).drop("month").collect()}
     assert after == {row if row[0] != "b" else (*row[:4], T0, T1) for row in EXPECTED}
 
 
 def test_untouched_partitions_are_not_rewritten(spark):
-    table = new_table(spark)
-    upsert_table(spark, stored(spark).drop("created_at", "updated_at"), table, run_ts=T0)
+    layout = PartitionBy.month()
+    table = new_table(spark, partition_by=layout)
+    upsert_table(spark, stored(spark).drop("created_at", "updated_at"), table, run_ts=T0, partition_by=layout)
 
     def files(month):
         rows = spark.table(table).where(F.col("month") == month).select("_metadata.file_path").distinct()
         return {r.file_path for r in rows.collect()}
 
     january, february = files("2024-01"), files("2024-02")
-    upsert_table(spark, spark.createDataFrame([("a", D2, "9")], SOURCE), table, run_ts=T1)
+    upsert_table(spark, spark.createDataFrame([("a", D2, "9")], SOURCE), table, run_ts=T1, partition_by=layout)
     assert files("2024-01") == january
     assert files("2024-02") != february
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
@@ -176,3 +178,12 @@ def test_a_new_cell_rewrites_only_its_bucket(spark):
     bucket = layout.add_to(new).first()["bucket"]
     assert all(f"bucket={bucket}" in file for file in before ^ after) and before & after
     assert spark.table(table).count() == 39
+
+
+def test_the_default_layout_has_buckets(spark):
+    table = new_table(spark)
+    assert list(PartitionBy().columns) == ["month", "bucket"]
+    upsert_table(spark, stored(spark).drop("created_at", "updated_at"), table, run_ts=T0)
+    upsert_table(spark, delivered(spark), table, run_ts=T1)
+    after = {tuple(r) for r in spark.table(table).drop("month", "bucket").collect()}
+    assert after == {row if row[0] != "b" else (*row[:4], T0, T1) for row in EXPECTED}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql.types import StructType
+
+from daygrid.contracts import MAPPING_SCHEMA, OBSERVATION_SCHEMA
 from workload.inputs import for_duckdb
 
 places_text, points, cells, stored = (for_duckdb(n) for n in ("places_text", "points", "cells", "stored_days"))
@@ -181,6 +184,13 @@ ORACLE["daily_load"] = f"""SELECT {_load_columns},
     CASE WHEN {_second} THEN '2024-03-01 00:00:00' ELSE '2024-02-01 00:00:00' END AS updated_at
 FROM {daily} WHERE {_loaded}"""
 
+ORACLE["load_summary"] = f"""
+WITH users AS (SELECT user_id, bool_or({_loaded}) AS good, count(*) AS days FROM {daily} GROUP BY user_id)
+SELECT n AS unanswered, n + (SELECT count(*) FROM users) AS locations,
+    n + (SELECT count(*) FROM users WHERE NOT good) AS failed_locations,
+    CAST((SELECT coalesce(sum(days), 0) FROM users WHERE good) AS BIGINT) AS rows_upserted
+FROM (SELECT count(*) AS n FROM nation)"""
+
 ORACLE["landed_load"] = f"""SELECT cell_key, CAST(day AS VARCHAR) AS date, -32.25::DOUBLE AS lat, 148.6::DOUBLE AS lon,
     CAST(CASE WHEN {_second} THEN events ELSE peak END AS VARCHAR) AS daily_rain,
     CAST(CASE WHEN {_second} THEN events ELSE peak END % 40 AS VARCHAR) || '.5' AS max_temp,
@@ -230,6 +240,24 @@ ORACLE["dq_null_keys"] = _per_key(_NULLS)
 ORACLE["dq_timestamps"] = _per_key(_TIMES)
 
 
+ORACLE["dq_farthest_places"] = ORACLE["dq_distance_threshold"] + " ORDER BY distance DESC, place_id LIMIT 20"
+ORACLE["dq_widest_gaps"] = ORACLE["dq_date_completeness"] + " ORDER BY missing_date_count DESC, cell_key LIMIT 20"
+
+# Types as this engine names them.
+_TYPES = {"string": "VARCHAR", "double": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP", "array<double>": "DOUBLE[]"}
+
+
+def _misfits(rows: str, contract: StructType) -> str:
+    """Positions where the engine's own description of ``rows`` and the contract differ in name or type."""
+    wanted = ", ".join(
+        f"({i}, '{field.name}', '{_TYPES[field.dataType.simpleString()]}')" for i, field in enumerate(contract.fields, 1)
+    )
+    return f"""SELECT 1 FROM (SELECT row_number() OVER () AS i, column_name, column_type
+            FROM (DESCRIBE SELECT * FROM {rows})) found
+        FULL JOIN (VALUES {wanted}) wanted(i, name, kind) ON wanted.i = found.i
+        WHERE (column_name, column_type) IS DISTINCT FROM (name, kind)"""
+
+
 def _report(counted: dict[str, str]) -> str:
     rows = " UNION ALL ".join(
         f"SELECT '{number}' AS check_no, CAST(count(*) AS BIGINT) AS violations FROM ({violations})"
@@ -243,7 +271,11 @@ ORACLE["dq_report_mapping"] = _report(
         "1": f"SELECT 1 FROM (SELECT count(*) AS n FROM {mapping}) WHERE n = 0",
         "1a": f"SELECT 1 FROM {mapping} m WHERE NOT EXISTS (SELECT 1 FROM {places} p WHERE p.place_id = m.place_id)",
         "1b": ORACLE["dq_rows_missing"],
-        "2": "SELECT 1 WHERE 1 = 0",
+        "2": _misfits(
+            f"""(SELECT place_id, place_name, state, [latitude, longitude] AS place_latlon,
+                [cell_lat, cell_lon] AS cell_latlon, cell_key, distance, backfill_from_date FROM {mapping})""",
+            MAPPING_SCHEMA,
+        ),
         "3": f"SELECT place_id FROM {mapping} GROUP BY place_id HAVING count(*) > 1",
         "4": ORACLE["dq_distance_threshold"],
         "5": ORACLE["dq_source_validity"],
@@ -252,11 +284,10 @@ ORACLE["dq_report_mapping"] = _report(
         "8": f"SELECT 1 FROM {mapping} WHERE backfill_from_date IS DISTINCT FROM DATE '1990-01-01'",
     }
 )
-# The observations have 12 of the contract's 42 columns; the first four agree by position, the other 38 do not.
 ORACLE["dq_report_load"] = _report(
     {
         "1": uncovered.format(mapped=parts, rows=observations),
-        "2": "SELECT unnest(generate_series(1, 37))",
+        "2": _misfits(observations, OBSERVATION_SCHEMA),
         "3": f"SELECT 1 FROM {part_gaps}",
         "4": ORACLE["dq_value_ranges"],
         "4a": ORACLE["dq_unparseable_values"],

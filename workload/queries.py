@@ -382,6 +382,21 @@ def daily_load(spark, folder):
     )
 
 
+@query
+def load_summary(spark, folder):
+    """What a load reports when some locations never answer, some are refused and a few were planned and not even tried."""
+    daily = for_spark(spark, folder, "daily_values")
+    table = f"observations_{uuid.uuid4().hex}"
+    load_job.create_observation_table(spark, table, location=new_work_folder(spark, "table"))
+    untried = spark.read.parquet(f"{folder}/nation.parquet").select(F.concat(F.lit("n"), "n_nationkey").alias("cell_key"))
+    asked = daily.select(F.concat(F.lit("u"), "user_id").alias("cell_key")).distinct().unionByName(untried)
+    result = load_job.load_attempts(spark, _attempt_log(daily, "peak"), table, _at(FIRST_RUN), requests=asked)
+    untold = F.count_if(F.col("problem") == load_job.UNANSWERED).alias("unanswered")
+    totals = (result.locations, result.failed_locations, result.rows_upserted)
+    names = ("locations", "failed_locations", "rows_upserted")
+    return result.failed.agg(untold, *[F.lit(n).cast("long").alias(name) for n, name in zip(totals, names)])
+
+
 def _attempt_log(daily: DataFrame, value: str) -> DataFrame:
     """A response per user, first refused for some users and never answered for others.
 
@@ -498,6 +513,22 @@ def dq_timestamps(spark, folder):
     return checks.timestamp_violations(for_spark(spark, folder, "observations"))
 
 
+@query
+def dq_farthest_places(spark, folder):
+    """The rows shown for the distance check: worst first."""
+    suite = quality.mapping_suite(spark, _mapping(spark, folder), _places(spark, folder), max_distance_km=NEAR_KM)
+    found = next(check for check in suite if check.number == "4").sample()
+    return found.select("place_id", "cell_key", "distance")
+
+
+@query
+def dq_widest_gaps(spark, folder):
+    """The rows shown for the date check: most missing days first."""
+    rows, parts = for_spark(spark, folder, "observations"), for_spark(spark, folder, "part_mapping")
+    suite = quality.load_suite(spark, parts, rows, LAST_DAY)
+    return next(check for check in suite if check.number == "3").sample()
+
+
 @query
 def dq_report_mapping(spark, folder):
     suite = quality.mapping_suite(spark, _mapping(spark, folder), _places(spark, folder), max_distance_km=NEAR_KM)
