@@ -57,8 +57,9 @@ def _observation_schema() -> StructType:
         _field("lon", DoubleType(), "Cell longitude in degrees.", True),
     ]
     for variable in fixed.DAILY_VARIABLES:
-        fields.append(_field(variable, StringType(), f"Value of {variable}, as delivered."))
-        fields.append(_field(f"{variable}_source", StringType(), f"Source code of {variable}, as delivered."))
+        fields.append(_field(variable, StringType(), fixed.VARIABLE_MEANINGS[variable]))
+        code = f"Where {variable} comes from, as a code; the table's comment lists them."
+        fields.append(_field(f"{variable}_source", StringType(), code))
     fields.append(_field("created_at", TimestampType(), "When the row was first loaded.", True))
     fields.append(_field("updated_at", TimestampType(), "When the row was last loaded.", True))
     return StructType(fields)

@@ -55,6 +55,39 @@ DAILY_VARIABLES = (
     "mslp",
 )
 
+# --- what the daily variables mean, with their units ----------------------------------------------------------------
+VARIABLE_MEANINGS = {
+    "daily_rain": "Rainfall of the day, in mm.",
+    "max_temp": "Highest temperature of the day, in degrees Celsius.",
+    "min_temp": "Lowest temperature of the day, in degrees Celsius.",
+    "vp": "Vapour pressure at 9 am, in hPa.",
+    "vp_deficit": "Vapour pressure deficit, in hPa.",
+    "evap_pan": "Evaporation from a class A pan, in mm; counted for the day before the reading.",
+    "evap_syn": "Synthetic estimate of class A pan evaporation, in mm.",
+    "evap_comb": "Evaporation, in mm: synthetic before 1970, from the pan since.",
+    "evap_morton_lake": "Evaporation of a shallow lake after Morton, in mm.",
+    "radiation": "Total incoming shortwave radiation on a level surface, in MJ per square metre.",
+    "rh_tmax": "Relative humidity at the time of the highest temperature, in percent.",
+    "rh_tmin": "Relative humidity at the time of the lowest temperature, in percent.",
+    "et_short_crop": "Potential evapotranspiration of a short crop (FAO56 Penman-Monteith), in mm.",
+    "et_tall_crop": "Potential evapotranspiration of a tall crop (ASCE Penman-Monteith), in mm.",
+    "et_morton_actual": "Actual areal evapotranspiration after Morton, in mm.",
+    "et_morton_potential": "Potential point evapotranspiration after Morton, in mm.",
+    "et_morton_wet": "Potential areal evapotranspiration over wet land after Morton, in mm.",
+    "mslp": "Pressure at mean sea level, in hPa.",
+}
+
+# --- codes in the "<name>_source" columns ----------------------------------------------------------------------------
+SOURCE_CODES = {
+    0: "observed",
+    15: "rain observed over more than 24 hours and split by day",
+    25: "interpolated from the day's observations",
+    26: "synthetic class A pan evaporation from temperature, radiation and vapour pressure",
+    35: "interpolated from the day's observations by anomalies",
+    42: "radiation estimated from satellite data",
+    75: "interpolated from long-term averages for the day of the year",
+}
+
 # --- accepted value ranges, inclusive at both ends -----------------------------------------------------------------
 VALUE_RANGES = {
     "daily_rain": (0.0, 1300.0),

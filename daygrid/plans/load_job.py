@@ -18,7 +18,11 @@ from daygrid.operators.upsert import KEYS, PartitionBy, merge_staged, repeated_k
 from daygrid.session import delete_work_folder, new_work_folder
 from daygrid.sources import responses
 
-TABLE_COMMENT = "Daily observations per grid cell. The trailing window is loaded again on every run."
+TABLE_COMMENT = (
+    "Daily observations per grid cell, as delivered. The trailing window is loaded again on every run. Source codes: "
+    + "; ".join(f"{code} {meaning}" for code, meaning in fixed.SOURCE_CODES.items())
+    + "."
+)
 
 # Every column a response may deliver for the observation table, under the response's own names.
 RESPONSE_COLUMNS = (

@@ -10,7 +10,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from daygrid import contracts
+from daygrid import fixed_values as fixed
 from daygrid.functions.text import sql_quoted
+from daygrid.plans import load_job
 
 SMALL = StructType([StructField("place_id", StringType(), False), StructField("distance", DoubleType(), True)])
 COMMENTED = StructType(
@@ -95,3 +97,14 @@ def test_gate_fails_the_job_on_null_and_passes_complete_rows(spark):
         gated.collect()
     assert contracts.enforce_not_null(rows, ["k"]).count() == 2
     assert {tuple(r) for r in contracts.null_counts(rows, ["k", "d"]).collect()} == {("k", 0), ("d", 1)}
+
+
+def test_observation_comments_give_meaning_unit_and_codes(spark):
+    table = f"observed_{uuid.uuid4().hex}"
+    assert load_job.create_observation_table(spark, table)
+    described = {r.col_name: r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    for variable in fixed.DAILY_VARIABLES:
+        assert described[variable].comment == fixed.VARIABLE_MEANINGS[variable]
+        assert "code" in described[f"{variable}_source"].comment
+    legend = described["Comment"].data_type
+    assert all(f"{code} {meaning}" in legend for code, meaning in fixed.SOURCE_CODES.items())
