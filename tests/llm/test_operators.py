@@ -159,6 +159,21 @@ def test_chain_takes_the_best_predecessor():
     assert passages.chains_of(runs)[0] == [(0, 0, 10), (12, 12, 10), (25, 24, 10)]
 
 
+def passages_between(a, b):
+    own, other = (passages._shingles(x.encode(), passages.SHINGLE) for x in (a, b))
+    return passages.passages_of(*own, *other, passages.SHINGLE, passages.WORDS, passages.SIMILARITY)
+
+
+def test_passages_with_repeated_lines():
+    line, before, after = prose(70, 36), prose(71, 20), prose(72, 20)
+    passage = f"{before} {line} {after}"
+    once_before = f"{line} {prose(73, 50)} {passage} {prose(74, 10)}"
+    assert (0, 76, 86, 162, 1.0) in passages_between(passage, once_before)
+    altered = " ".join(w if k % 40 < 20 else "x" for k, w in enumerate(passage.split()))
+    assert (0, 76, 126, 202, 1.0) in passages_between(passage, f"{altered} {prose(75, 50)} {passage}")
+    assert passages_between("a b c d e " * 400, "a b c d e " * 300 + prose(76, 20))[0] == (0, 1500, 0, 1500, 1.0)
+
+
 def test_surrogates(docs, none):
     found = {r.doc_id: r for r in pii.replace(docs, keep=("doc_id",)).collect() if r.doc_id is not None}
     assert len(found[30].entities) == 3 and "a.b@mail1" not in found[30].text and "555-6789" not in found[30].text
