@@ -3,8 +3,8 @@
 ``RULES`` is data: a measure, its bounds, and from which length on the rule speaks. ``judge`` turns the table into plain
 Spark columns over one row, so a document is judged where it is read: no shuffle, no Python, no state.
 
-Nulls and edge cases: a null text has no words and fails. Empty and blank texts have no words and fail. Other columns,
-whatever their names, are not looked at; repeated rows are judged alike; an empty table gives an empty result.
+Nulls and edge cases: a null text has no words and fails. Empty and blank texts have no words and fail. Of other columns
+only a ``lang`` is looked at, by the rules for stop words; repeated rows are judged alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,6 +30,10 @@ STOP_WORDS = (
 ).split()
 
 
+#: Their languages. A text says its own in the column ``LANG``, if there is one; its script is looked at in any case.
+LANG, LANGUAGES = "lang", ("en", "fr", "de", "es")
+
+
 @dataclass(frozen=True)
 class Rule:
     """``measure`` must lie within [low, high]; the rule speaks from ``words`` words and ``lines`` lines on."""
@@ -40,16 +44,18 @@ class Rule:
     high: float | None = None
     words: int = 0
     lines: int = 0
+    #: The rule speaks only of texts in a script and language that ``STOP_WORDS`` has words for.
+    stops: bool = False
 
 
 #: Bounds from published filters for web text; the rules that need a sample of the text speak only from 50 words on.
 RULES = (
-    Rule("words", "n_words", low=10, high=100_000),
+    Rule("words", "n_words", low=10),
     Rule("repeated_words", "repeat_ratio", high=0.2),
     Rule("mean_word_length", "mean_word_chars", low=3.0, high=10.0, words=50),
     Rule("symbols", "symbol_ratio", high=0.1),
-    Rule("stop_words", "stop_ratio", low=0.02, words=50),
-    Rule("distinct_stop_words", "n_stop_words", low=2, words=50),
+    Rule("stop_words", "stop_ratio", low=0.02, words=50, stops=True),
+    Rule("distinct_stop_words", "n_stop_words", low=2, words=50, stops=True),
     Rule("repeated_lines", "dup_line_ratio", high=0.34, lines=3),
     Rule("bullet_lines", "bullet_ratio", high=0.9, lines=3),
     Rule("ellipsis_lines", "ellipsis_ratio", high=0.3, lines=3),
@@ -65,7 +71,13 @@ def measures(docs: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> D
     stop = sorted({form for word in STOP_WORDS for form in (word, word[:1].upper() + word[1:])})
     body = F.coalesce(F.col(text), F.lit(""))
     has_word = F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    read = docs.select(*keep, body.alias("_text"), words_of(F.col(text)).alias("_words"), has_word.alias("_lines"))
+    # Foreign: more letters of other scripts than Latin ones, or a language without stop words.
+    other = F.length(F.regexp_replace(body, r"[\P{L}\p{IsLatin}]+", "")) > F.length(F.regexp_replace(body, r"[^\p{IsLatin}]+", ""))
+    foreign = F.when(body.rlike(r"[\p{L}&&[^\p{IsLatin}]]"), other).otherwise(F.lit(False))
+    if LANG in docs.columns and docs.schema[LANG].dataType.simpleString() == "string":
+        named = F.lower(F.regexp_extract(F.col(LANG), r"^\s*([A-Za-z]{2,3})(?![A-Za-z])", 1))
+        foreign = foreign | F.coalesce((named != "") & ~named.isin(*LANGUAGES), F.lit(False))
+    read = docs.select(*keep, foreign.alias("_foreign"), body.alias("_text"), words_of(F.col(text)).alias("_words"), has_word.alias("_lines"))
 
     def windows(pair: Callable[[Column, Column], Column], frame: DataFrame, first: Column) -> DataFrame:
         """Adds _w, one value for each 5-word window, from values of 1, then 2, then 4 words."""
@@ -98,6 +110,7 @@ def measures(docs: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> D
         F.coalesce(F.aggregate(gaps, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         stops.alias("_stops"),
+        "_foreign",
         F.size(F.filter("_lines", lambda x: x.rlike(r"^\s*[-*•‣▪●]"))).alias("_bullets"),
         F.size(F.filter("_lines", lambda x: x.rlike(r"(\.\.\.|…)\s*$"))).alias("_ellipses"),
     )
@@ -113,6 +126,7 @@ def measures(docs: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> D
         _ratio(F.col("n_dup_lines"), lines).alias("dup_line_ratio"),
         _ratio(F.col("_bullets"), lines).alias("bullet_ratio"),
         _ratio(F.col("_ellipses"), lines).alias("ellipsis_ratio"),
+        F.col("_foreign").alias("foreign"),
     )
 
 
@@ -126,6 +140,8 @@ def failures(rules: Sequence[Rule] = RULES) -> Column:
         if rule.high is not None:
             bad = bad | (value > rule.high)
         speaks = (F.col("n_words") >= rule.words) & (F.col("n_lines") >= rule.lines)
+        if rule.stops:
+            speaks = speaks & ~F.col("foreign")
         broken.append(F.when(speaks & bad, F.lit(rule.name)))
     return F.array_compact(F.array(*broken))
 

@@ -64,6 +64,17 @@ def test_quality(docs, none):
     assert found[22].n_words == 20_000 and found[22].n_repeat_words == 20_000 and found[14].n_words == 0
 
 
+def test_quality_of_long_and_foreign_texts(spark):
+    draw = random.Random(5)
+    russian = " ".join("".join(draw.choice("абвгдежзиклмнопрст") for _ in range(6)) for _ in range(80))
+    polish = " ".join("".join(draw.choice("bcdfgłkmnprstz") for _ in range(6)) for _ in range(80))
+    long = " ".join(f"the{k} of a word{k}" for k in range(30_000))
+    texts = [(1, russian, None), (2, polish, "pl"), (3, long, "en"), (4, polish, "en")]
+    judged = quality.judge(spark.createDataFrame(texts, "doc_id long, text string, lang string"), keep=("doc_id",))
+    found = {r.doc_id: r.broken_rules for r in judged.collect()}
+    assert found == {1: [], 2: [], 3: [], 4: ["stop_words", "distinct_stop_words"]}
+
+
 def test_secrets(docs, none):
     found = secrets.scan(docs, keep=("doc_id", "text"))
     for doc, text, spans in by_text(found, "spans"):
