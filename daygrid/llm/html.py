@@ -45,7 +45,7 @@ _SIBLINGS = {
     "tbody": (("tbody", "thead", "tfoot"), ("table",)),
     "tfoot": (("tbody", "thead", "tfoot"), ("table",)),
 }
-_ASIDE = frozenset("nav header footer aside form button select menu dialog svg math object audio video canvas map search".split())
+_ASIDE = frozenset("nav header footer aside form button select menu dialog svg object audio video canvas map search".split())
 _ROLES = re.compile(r"\brole\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|form|alert|alertdialog|dialog|menu)\b", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NAMES = re.compile(r"\b(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -54,6 +54,7 @@ _NEVER = re.compile(
     r"cookies?|consent|gdpr|newsletter|subscri\w+|signup|popup|modal|overlay)(?![a-z])",
     re.I,
 )
+_COMMENT = re.compile(r"(?<![a-z])(?:comments?|commentlist|respond|repl(?:y|ies)|disqus\w*)(?![a-z])", re.I)
 _RARELY = re.compile(
     r"(?<![a-z])(?:side-?bar|menu|nav\w*|breadcrumbs?|header|masthead|footer|banner|notice|alert|warning|widget|shar(?:e|ing)|social|"
     r"related|recommend\w*|paginat\w*|pager|toolbar|login|search|form|skip|tags?)(?![a-z])",
@@ -79,7 +80,11 @@ class _Node:
 
 
 def _set_aside(tag: str, attributes: str, in_article: bool) -> int:
-    """2: this element is never part of an article; 1: only if it holds one, or its title; 0: it may be."""
+    """What an element says of itself.
+
+    2: it is never part of an article; 1: only if it holds one, or its title; 5: only if it holds all of the page's articles;
+    4: an article that is one only if the page has no other; 0: it may be.
+    """
     if tag in ("html", "body"):
         return 0
     rare = tag in _ASIDE and not (tag == "header" and in_article)
@@ -87,8 +92,8 @@ def _set_aside(tag: str, attributes: str, in_article: bool) -> int:
         if _HIDDEN.search(attributes):
             return 2
         names = " ".join("".join(found) for found in _NAMES.findall(attributes)).replace("_", "-")
-        if names and _NEVER.search(names):
-            return 2
+        if names and tag != "main" and _NEVER.search(names):
+            return 5 if tag != "article" else 2 if _COMMENT.search(names) else 4
         heading = tag in ("article", "main", "h1", "h2", "h3", "h4", "h5", "h6")
         rare = rare or bool(_ROLES.search(attributes)) or bool(names and not heading and _RARELY.search(names))
     return int(rare)
@@ -151,6 +156,18 @@ def _tree(page: str) -> list[_Node]:
 
 def _measure(nodes: list[_Node]) -> None:
     """Marks what is set aside and sums up text, linked text and points."""
+    doubtful = [node for node in nodes if node.out == 4]
+    alone = len(doubtful) == 1 and not any(node.tag == "article" and node.out == 0 for node in nodes)
+    for node in doubtful:
+        node.out = 0 if alone else 2
+    articles = {id(node): int(node.tag in ("article", "main") and node.out == 0) for node in nodes}
+    total = sum(articles.values())
+    for node in reversed(nodes):
+        if node.parent is not None:
+            articles[id(node.parent)] += articles[id(node)]
+    for node in nodes:
+        if node.out == 5:
+            node.out = 1 if total and articles[id(node)] == total else 2
     for node in reversed(nodes):
         holds = max(node.holds, {"article": 2, "main": 2, "h1": 1}.get(node.tag, 0) if node.out == 0 else 0)
         # Page headers have titles of their own, so a title alone does not make them the article's.

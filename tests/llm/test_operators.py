@@ -238,6 +238,21 @@ def test_pages(spark):
     assert all(r.n_chars == len(r.text) for r in found)
 
 
+def test_pages_whose_article_has_a_suspect_name(spark):
+    body = "<p>The text, which is long enough, and says more, to count.</p>"
+    pages = [
+        f"<div class='layout no-comments'><article>{body}</article></div>",
+        f"<article class='post subscriber-only'>{body}</article>",
+        f"<main class='has-popup'>{body}</main>",
+        f"<article>{body}</article><div class='comments'><article>me, too, I say, and more, and more</article></div>",
+        f"<article>{body}</article><article class='comment'><p>me, too, I say, and more, and more</p></article>",
+        f"<article>{body.replace('more', '<math><mi>more</mi></math>')}</article>",
+    ]
+    rows = [(k, "u", page) for k, page in enumerate(pages)]
+    found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in found} == {"The text, which is long enough, and says more, to count."}
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_oracle(spark, name):
     from tests.comparison import compare, duck
