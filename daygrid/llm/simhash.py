@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrid.llm.common import components, small_enough, spread, staged, table
@@ -234,7 +234,6 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = found.groupBy("root").agg(F.min(F.struct(F.col("_doc_id").isNull().alias("last"), "_doc_id", "_row")).alias("one"))
     first = first.select(F.col("one._doc_id").alias("_one_id"), F.col("one._row").alias("_one_row"))
     same = F.col("_doc_id").eqNullSafe(F.col("_one_id")) & (F.col("_row") == F.col("_one_row"))
-    kept = inner.join(first, same, "left_semi")
-    # Rows that are equal in every column pass together: one of them stays.
-    copy = F.row_number().over(Window.partitionBy("_doc_id", "_row").orderBy("_row"))
-    return kept.withColumn("_copy", copy).where("_copy = 1").select("doc.*")
+    # Rows that are equal in every column: one of them stays. They collapse in the task that reads them, before the texts are shuffled.
+    once = inner.groupBy("_doc_id", "_row").agg(F.first("doc").alias("doc"))
+    return once.join(first, same, "left_semi").select("doc.*")

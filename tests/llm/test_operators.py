@@ -253,6 +253,13 @@ def test_pages_whose_article_has_a_suspect_name(spark):
     assert {r.text for r in found} == {"The text, which is long enough, and says more, to count."}
 
 
+def test_copies_collapse_before_the_shuffle(spark):
+    docs = spark.createDataFrame([(None, "one two three four")] * 50 + [(1, "five six seven eight")], "doc_id long, text string")
+    kept = simhash.keep_one(spark, docs, "")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.count() == 2 and "Window" not in plan
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_oracle(spark, name):
     from tests.comparison import compare, duck
