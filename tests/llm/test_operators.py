@@ -185,6 +185,18 @@ def test_passages_with_repeated_lines():
     assert passages_between("a b c d e " * 400, "a b c d e " * 300 + prose(76, 20))[0] == (0, 1500, 0, 1500, 1.0)
 
 
+def test_passages_of_other_holders_and_fuzzy_ones(spark):
+    lines = [prose(80 + k, 30) for k in range(2)]
+    texts = [f"{prose(100 + k, 50)} {' '.join(lines)} {prose(120 + k, 50)}" for k in range(2)]
+    texts += [f"{prose(140 + k, 50)} {lines[k % 2]} {prose(180 + k, 50)}" for k in range(40)]
+    # Every sixth word replaced: runs of five words, one shingle each.
+    clean = [prose(300 + k, 60).split() for k in range(20)]
+    texts += [" ".join(w) for w in clean] + [" ".join(f"new{k}" if k % 6 == 5 else w for k, w in enumerate(ws)) for ws in clean]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs = {frozenset((r.id, r.source_id)) for r in passages.shared_passages(docs).collect()}
+    assert {frozenset((42 + k, 62 + k)) for k in range(20)} <= pairs
+
+
 def test_surrogates(docs, none):
     found = {r.doc_id: r for r in pii.replace(docs, keep=("doc_id",)).collect() if r.doc_id is not None}
     assert len(found[30].entities) == 3 and "a.b@mail1" not in found[30].text and "555-6789" not in found[30].text
