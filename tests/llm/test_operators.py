@@ -194,6 +194,7 @@ def test_passages_of_other_holders_and_fuzzy_ones(spark):
     texts += [" ".join(w) for w in clean] + [" ".join(f"new{k}" if k % 6 == 5 else w for k, w in enumerate(ws)) for ws in clean]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     pairs = {frozenset((r.id, r.source_id)) for r in passages.shared_passages(docs).collect()}
+    assert frozenset((0, 1)) in pairs
     assert {frozenset((42 + k, 62 + k)) for k in range(20)} <= pairs
 
 
