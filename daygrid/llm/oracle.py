@@ -1,7 +1,7 @@
 """SQL, for DuckDB, of the queries that SQL can express.
 
 The others are tested against brute force (``tests/llm``): SimHash needs XXH64, the suffix arrays, passages, surrogates, extraction,
-mixing and the language model have no SQL form.
+mixing, tokenizers and the networks have no SQL form.
 """
 
 from __future__ import annotations
@@ -86,8 +86,36 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
 FROM d LEFT JOIN h USING (rid) LEFT JOIN n USING (rid)
 """
 
+
+
+def _lloyd(dims: int, clusters: int, rounds: int) -> str:
+    def nearest(turn: int) -> str:
+        return f"""d{turn} AS MATERIALIZED (SELECT r, k, sum((f.x - c.x) * (f.x - c.x)) AS d FROM f JOIN c{turn} c USING (i) GROUP BY r, k),
+a{turn} AS MATERIALIZED (SELECT r, k, d FROM d{turn} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)"""
+
+    def update(turn: int) -> str:
+        return f"""c{turn} AS MATERIALIZED (SELECT k, i, coalesce((s - ((s % n) + n) % n) // n, x)::BIGINT AS x FROM c{turn - 1}
+    LEFT JOIN (SELECT k, i, sum(x) AS s, count(*) AS n FROM f JOIN a{turn - 1} USING (r) GROUP BY k, i) USING (k, i))"""
+
+    steps = [nearest(0)] + [text for turn in range(1, rounds + 1) for text in (update(turn), nearest(turn))]
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding AS e FROM embeddings
+    WHERE len(embedding) = {dims} AND len([x for x in embedding if coalesce(isfinite(x), false)]) = {dims}),
+f AS MATERIALIZED (SELECT r, i, floor(64 * e[i]::DOUBLE)::BIGINT AS x FROM v, range(1, {dims + 1}) t(i)),
+first AS (SELECT r, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), e) - 1 AS k FROM v QUALIFY k < {clusters}),
+c0 AS MATERIALIZED (SELECT k, i, x FROM first JOIN f USING (r)),
+{", ".join(steps)},
+g AS (SELECT k, sum(d) AS own FROM a{rounds} GROUP BY k),
+h AS (SELECT k, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY k)
+SELECT vec_id, k::INTEGER AS cluster, d::BIGINT AS distance, own::BIGINT AS cluster_inertia,
+    (SELECT sum(own) FROM g)::BIGINT AS inertia, centroid_sha256
+FROM v JOIN a{rounds} USING (r) JOIN g USING (k) JOIN h USING (k)
+"""
+
+
 ORACLE = {
     "op6_quality_rules": _QUALITY,
     "op8_secret_scans": _SECRETS,
     "op10_benchmark_decontamination": _DECONTAMINATION,
+    "op12_centroid_clustering": _lloyd(64, 16, 3),
 }
