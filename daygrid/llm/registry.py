@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daygrid.llm import decontaminate, html, lloyd, lm, mixing, passages, pii, quality, secrets, simhash, suffix
+from daygrid.llm import alignment, decontaminate, html, lloyd, lm, mixing, passages, pii, quality, secrets, simhash, suffix
 from daygrid.llm.oracle import ORACLE
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_secret_scans": secrets.op8_secret_scans,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+    "op11_cross_tokenizer_alignment": alignment.op11_cross_tokenizer_alignment,
     "op12_centroid_clustering": lloyd.op12_centroid_clustering,
 }
 __all__ = ["ORACLE", "QUERIES"]
