@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daygrid.llm import alignment, decontaminate, html, lloyd, lm, mixing, passages, pii, quality, secrets, simhash, suffix
+from daygrid.llm import alignment, decontaminate, html, lloyd, lm, mixing, passages, pii, quality, secrets, simhash, suffix, toxicity
 from daygrid.llm.oracle import ORACLE
 
 QUERIES = {
@@ -18,5 +18,6 @@ QUERIES = {
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
     "op11_cross_tokenizer_alignment": alignment.op11_cross_tokenizer_alignment,
     "op12_centroid_clustering": lloyd.op12_centroid_clustering,
+    "op13_toxicity": toxicity.op13_toxicity,
 }
 __all__ = ["ORACLE", "QUERIES"]
