@@ -16,6 +16,7 @@ gives no rows. Other columns are not looked at.
 
 from __future__ import annotations
 
+import functools
 import pickle
 import re
 from collections import Counter
@@ -180,15 +181,18 @@ def labelled(docs: DataFrame, labels: DataFrame, text: str, id: str, label: str)
     """(text, label, weight) of at most SAMPLE rows of each label; they stand for all that may be learned from."""
     known = labels.select(F.col(id).alias("id"), F.col(label).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.max("label").alias("label"))
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(known, "id")
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # two rows
-    parts = []
+    # Rows are chosen by ids and hashes; texts are fetched for the chosen few.
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h")).where("id IS NOT NULL")
+    found = staged(rows.select("id", "h").join(known, "id").distinct(), "labels")
+    counts = {r["label"]: r["count"] for r in found.groupBy("label").count().collect()}  # two rows
+    parts = [found.limit(0).withColumn("weight", F.lit(1.0))]
     for value, n in sorted(counts.items()):
-        some = rows.where(F.col("label") == value).orderBy(F.xxhash64(F.col("id").cast("string")), F.xxhash64("text")).limit(SAMPLE)
-        parts.append(some.select("text", "label", F.lit(max(n / SAMPLE, 1.0)).alias("weight")))
-    if not parts:
-        return rows.select("text", "label", F.lit(1.0).alias("weight")).limit(0)
-    return staged(parts[0].unionAll(parts[1]) if parts[1:] else parts[0], "labelled")
+        some = found.where(F.col("label") == value).orderBy(F.xxhash64(F.col("id").cast("string")), "h").limit(SAMPLE)
+        parts.append(some.withColumn("weight", F.lit(max(n / SAMPLE, 1.0))))
+    chosen = staged(functools.reduce(DataFrame.unionAll, parts), "chosen")
+    # At most SAMPLE rows of each label are broadcast, and as many texts come back, however often they are repeated.
+    texts = rows.join(F.broadcast(chosen), ["id", "h"]).groupBy("id", "h", "label", "weight").agg(F.first("text").alias("text"))
+    return staged(texts.select("text", "label", "weight"), "sample")
 
 
 def fit(sample: DataFrame) -> tuple[Network, Parameters]:
