@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from daygrid.session import new_work_folder
 
@@ -48,6 +52,24 @@ def computed(df: DataFrame) -> DataFrame:
     return df.select(F.inline_outer(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
 
 
+def beside(df: DataFrame, keep: tuple[str, ...], own: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """The columns ``keep`` of ``df`` as they are, and what ``own`` makes, row by row, of all its other columns.
+
+    Kept columns never pass through pandas, where whole numbers beside a null would become fractions.
+    """
+    others = [c for c in df.columns if c not in keep]
+    made = {f.name: to_arrow_type(f.dataType) for f in StructType.fromDDL(schema)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = own(batch.select(others).to_pandas())
+            columns = [*(batch.column(c) for c in keep), *(pa.Array.from_pandas(out[c], type=t) for c, t in made.items())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *made])
+
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*[f"`{c}`" for c in keep]).schema.fields]
+    return df.select(*[f"`{c}`" for c in (*keep, *others)]).mapInArrow(run, ", ".join([*kept, schema]))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case and nothing else; ``lower`` would change other letters too, so it serves plain ASCII only."""
     return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, UPPER, UPPER.lower())).otherwise(F.lower(text))

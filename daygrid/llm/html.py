@@ -16,13 +16,12 @@ any length are read whole. Null urls and repeated rows pass through. Other colum
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from html import unescape
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from daygrid.llm.common import table
+from daygrid.llm.common import beside, table
 
 # Elements by their role in HTML, and words by which page authors name what is not the article.
 _RAW = frozenset("script style noscript template textarea title iframe xmp noembed noframes".split())
@@ -282,18 +281,12 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The columns ``keep``, text and n_chars for every row of ``pages``."""
-    fields = [f for f in pages.select(*keep).schema.fields]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "text string", "n_chars long"])
-    names = list(keep)
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [main_text(page) for page in batch["_html"]]
-            out = batch[names].copy()
-            out["text"], out["n_chars"] = texts, [len(t) for t in texts]
-            yield out
-
-    return pages.select(*keep, pages[html].alias("_html")).mapInPandas(read, schema)
+
+    def read(batch: pd.DataFrame) -> pd.DataFrame:
+        texts = [main_text(page) for page in batch["_html"]]
+        return pd.DataFrame({"text": texts, "n_chars": [len(t) for t in texts]})
+
+    return beside(pages.select(*keep, pages[html].alias("_html")), keep, read, "text string, n_chars long")
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import small_enough, staged, table
+from daygrid.llm.common import beside, small_enough, staged, table
 
 #: The key of the registered query; a real run passes its own and keeps it secret.
 KEY = b"surrogates"
@@ -258,28 +258,24 @@ def replace(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = (), key
     # Broadcast by the number of pairs, which bounds the bytes.
     few = small_enough(named) is not named
     joined = rows.join(F.broadcast(by_text) if few else by_text, "_key", "left").drop("_key")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
-    names = list(keep)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts, places = [], []
-            for text, pairs in zip(batch["_text"], batch["_named"]):
-                if not text or pairs is None or not len(pairs):
-                    texts.append(text)
-                    places.append([])
-                    continue
-                names_ = {(p["kind"], p["canonical"]): p["core"] for p in pairs}
-                out, at, spans = [], 0, find(text)
-                for begin, end, kind, form in spans:
-                    out += [text[at:begin], dress(kind, text[begin:end], names_[kind, form])]
-                    at = end
-                texts.append("".join([*out, text[at:]]))
-                places.append([f"{kind}:{begin}:{end}" for begin, end, kind, _ in spans])
-            more = pd.DataFrame({"text": texts, "entities": places}, index=batch.index)
-            yield pd.concat((batch[names], more), axis=1)
-
-    return joined.mapInPandas(write, ", ".join([*fields, "text string", "entities array<string>"]))
+    def write(batch: pd.DataFrame) -> pd.DataFrame:
+        texts, places = [], []
+        for text, pairs in zip(batch["_text"], batch["_named"]):
+            if not text or pairs is None or not len(pairs):
+                texts.append(text)
+                places.append([])
+                continue
+            names = {(p["kind"], p["canonical"]): p["core"] for p in pairs}
+            out, at, spans = [], 0, find(text)
+            for begin, end, kind, form in spans:
+                out += [text[at:begin], dress(kind, text[begin:end], names[kind, form])]
+                at = end
+            texts.append("".join([*out, text[at:]]))
+            places.append([f"{kind}:{begin}:{end}" for begin, end, kind, _ in spans])
+        return pd.DataFrame({"text": texts, "entities": places})
+
+    return beside(joined, keep, write, "text string, entities array<string>")
 
 
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

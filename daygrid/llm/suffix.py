@@ -30,8 +30,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from daygrid.llm.common import spread, staged, table
+from daygrid.llm.common import beside, spread, staged, table
 
 LENGTH = 100
 GRAM = 24
@@ -364,8 +365,9 @@ def _settle(length: int):
             elif key[first] != key[i] or start[first] != start[i]:
                 gone.append((i, 0, n[i]))
         firsts = np.array(firsts, dtype=np.int64)
-        several = np.concatenate(([False], route[firsts][1:] == route[firsts][:-1]))
-        several |= np.concatenate((several[1:], [False]))
+        same, several = route[firsts][1:] == route[firsts][:-1], np.zeros(len(firsts), dtype=bool)
+        several[1:] = same
+        several[:-1] |= same
         rest = firsts[several]
         cuts = np.flatnonzero(np.concatenate(([True], route[rest][1:] != route[rest][:-1], [True]))) if len(rest) else []
         # Whole routes, some BATCH bytes of windows at a time.
@@ -449,7 +451,9 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
         F.collect_set("least").alias("wanted"),
         F.collect_set(F.when(F.col("count") > hot, F.col("least"))).alias("hot"),
     )
-    parts = named.join(flagged, "doc").select(F.col("id").isNull().alias("last"), "id", "key", "text", "wanted", "hot")
+    # Null ids would make fractions of whole numbers in pandas; they are told apart by ``last``.
+    whole = F.coalesce("id", F.lit(0).cast(kind)) if isinstance(docs.schema["id"].dataType, NumericType) else F.col("id")
+    parts = named.join(flagged, "doc").select(F.col("id").isNull().alias("last"), whole.alias("id"), "key", "text", "wanted", "hot")
     names = ["last", "id", "key", "start", "n", "route", "bytes"]
     sent = parts.mapInPandas(_sift(length, gram, names), _SENT.format(id=kind)).withColumn("shard", F.spark_partition_id())
     merge = spread(sent, "route").sortWithinPartitions("route", "last", "id", "key", "start")
@@ -466,27 +470,22 @@ def remove_repeats(
     found = repeated(rows.select(F.col("_id").alias("id"), F.col("_key").alias("key"), F.col("_text").alias("text")), length, gram, hot)
     found = found.select(F.col("key").alias("_key"), F.col("spans.start").alias("_start"), F.col("spans.n").alias("_n"))
     joined = rows.join(_small(found, "_start"), "_key", "left").select(*keep, "_text", "_start", "_n")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
-    schema = ", ".join([*fields, "n_bytes long", "n_removed long", "n_spans long", "removed array<long>", "kept binary"])
-    names = list(keep)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for text, start, n in zip(batch["_text"], batch["_start"], batch["_n"]):
-                data, spans = text.encode("utf-8", "surrogatepass"), []
-                for a, b in zip(start, np.asarray(start) + np.asarray(n) + length - 1) if start is not None else ():
-                    if spans and a <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], int(b))
-                    else:
-                        spans.append([int(a), int(b)])
-                places = [0, *(x for span in spans for x in span), len(data)]
-                left = b"".join(data[a:b] for a, b in zip(places[::2], places[1::2]))
-                out.append((len(data), len(data) - len(left), len(spans), places[1:-1], left))
-            more = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "removed", "kept"], index=batch.index)
-            yield pd.concat((batch[names], more), axis=1)
-
-    return joined.mapInPandas(cut, schema)
+    def cut(batch: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for text, start, n in zip(batch["_text"], batch["_start"], batch["_n"]):
+            data, spans = text.encode("utf-8", "surrogatepass"), []
+            for a, b in zip(start, np.asarray(start) + np.asarray(n) + length - 1) if start is not None else ():
+                if spans and a <= spans[-1][1]:
+                    spans[-1][1] = max(spans[-1][1], int(b))
+                else:
+                    spans.append([int(a), int(b)])
+            places = [0, *(x for span in spans for x in span), len(data)]
+            left = b"".join(data[a:b] for a, b in zip(places[::2], places[1::2]))
+            out.append((len(data), len(data) - len(left), len(spans), places[1:-1], left))
+        return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "removed", "kept"])
+
+    return beside(joined, keep, cut, "n_bytes long, n_removed long, n_spans long, removed array<long>, kept binary")
 
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
