@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 Parameters = dict[str, np.ndarray]
+CHUNK = 1024
 
 
 class Model:
@@ -112,25 +113,30 @@ class Model:
     def gradients(self, p: Parameters, inputs: np.ndarray, targets: np.ndarray, there: np.ndarray, h: np.ndarray) -> tuple[Parameters, np.ndarray, float]:
         """Backpropagation through one window (time, row) from state ``h``; ``there`` marks words that exist."""
         steps, rows = inputs.shape
-        kept, states = [], np.empty((steps, rows, self.state), dtype=np.float32)
+        kept, states = [], np.empty((steps, rows, self.state), dtype=h.dtype)
         for t in range(steps):
             new_h, *rest = self.step(p, inputs[t], h)
             kept.append((h, *rest))
             h = states[t] = np.where(there[t][:, None], new_h, h)
         flat, words, real = states.reshape(-1, self.state), targets.ravel(), there.ravel()
-        g = {name: np.zeros(shape, dtype=np.float32) for name, shape in self.shapes().items()}
+        g = {name: np.zeros(shape, dtype=h.dtype) for name, shape in self.shapes().items()}
         share = 1.0 / max(int(real.sum()), 1)
-        logits = flat @ p["to_class"] + p["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        probability = np.exp(logits)
-        probability /= probability.sum(axis=1, keepdims=True)
-        at = np.arange(len(words))
-        classes = self.class_of(words)
-        loss = -float(np.log(probability[at, classes] + 1e-30)[real].sum())
-        probability[at, classes] -= 1
-        probability *= (real * share).astype(np.float32)[:, None]
-        g["to_class"], g["class_bias"] = flat.T @ probability, probability.sum(axis=0)
-        back = probability @ p["to_class"].T
+        classes, loss = self.class_of(words), 0.0
+        back = np.empty_like(flat)
+        for lo in range(0, len(words), CHUNK):  # small enough for the cache
+            cut = slice(lo, lo + CHUNK)
+            probability = flat[cut] @ p["to_class"]
+            probability += p["class_bias"]
+            probability -= probability.max(axis=1, keepdims=True)
+            np.exp(probability, out=probability)
+            probability /= probability.sum(axis=1, keepdims=True)
+            own = np.arange(len(probability)), classes[cut]
+            loss -= float(np.log(probability[own] + 1e-30)[real[cut]].sum())
+            probability[own] -= 1
+            probability *= (real[cut] * share).astype(probability.dtype)[:, None]
+            g["to_class"] += flat[cut].T @ probability
+            g["class_bias"] += probability.sum(axis=0)
+            back[cut] = probability @ p["to_class"].T
         places, cuts = self._by_head(np.where(real, words, self.frequent))
         for c in range(self.heads):
             own = places[cuts[c] : cuts[c + 1]]
@@ -143,12 +149,12 @@ class Model:
             mine = np.arange(len(own)), words[own] % self.size
             loss -= float(np.log(within[mine] + 1e-30).sum())
             within[mine] -= 1
-            within *= np.float32(share)
+            within *= within.dtype.type(share)
             g["to_word"][c], g["word_bias"][c] = flat[own].T @ within, within.sum(axis=0)
             back[own] += within @ p["to_word"][c].T
         back = back.reshape(states.shape)
-        carried = np.zeros((rows, self.state), dtype=np.float32)
-        into = np.empty((steps, rows, 3 * self.state), dtype=np.float32)
+        carried = np.zeros((rows, self.state), dtype=h.dtype)
+        into = np.empty((steps, rows, 3 * self.state), dtype=h.dtype)
         for t in range(steps - 1, -1, -1):
             before, z, r, inner, new = kept[t]
             whole = back[t] + carried
@@ -161,7 +167,10 @@ class Model:
             g["again"] += before.T @ d_again
             g["shift"] += d_again[:, 2 * self.state :].sum(axis=0)
             carried = (whole - total) + total * z + d_again @ p["again"].T
-        np.add.at(g["into"], inputs.ravel(), into.reshape(-1, 3 * self.state))
+        which = inputs.ravel()
+        by = np.argsort(which, kind="stable")
+        first = np.flatnonzero(np.diff(which[by], prepend=-1))
+        g["into"][which[by[first]]] = np.add.reduceat(into.reshape(-1, 3 * self.state)[by], first, axis=0)
         return g, h, loss
 
 
@@ -187,27 +196,25 @@ class Adam:
             p[name] -= np.float32(rate) * mean / (np.sqrt(square) + np.float32(1e-6))
 
 
-def train(model: Model, p: Parameters, segments: list[np.ndarray], window: int, rows: int, least: int) -> Parameters:
+def train(model: Model, p: Parameters, segments: list[np.ndarray], window: int, rows: int, adam: Adam) -> None:
     """Truncated backpropagation over segments, each from its first word to its last.
 
-    The state is carried from window to window, its gradient is not. Segments are taken again until there were ``least`` steps.
+    The state is carried from window to window, its gradient is not.
     """
-    adam, order = Adam(), np.random.default_rng(11).permutation(len(segments))
-    while adam.turn < least and len(segments):
-        for at in range(0, len(order), rows):
-            some = [segments[i] for i in order[at : at + rows]]
-            longest = max(map(len, some))
-            words = np.full((longest, len(some)), model.start, dtype=np.int64)
-            for column, segment in enumerate(some):
-                words[: len(segment), column] = segment
-            there = np.arange(1, longest)[:, None] < np.array([len(s) for s in some])[None, :]
-            targets = np.where(there, words[1:], 0)
-            h = np.zeros((len(some), model.state), dtype=np.float32)
-            for t in range(0, longest - 1, window):
-                cut = slice(t, min(t + window, longest - 1))
-                g, h, _ = model.gradients(p, words[:-1][cut], targets[cut], there[cut], h)
-                adam(p, g)
-    return p
+    order = np.random.default_rng(11).permutation(len(segments))
+    for at in range(0, len(order), rows):
+        some = [segments[i] for i in order[at : at + rows]]
+        longest = max(map(len, some))
+        words = np.full((longest, len(some)), model.start, dtype=np.int64)
+        for column, segment in enumerate(some):
+            words[: len(segment), column] = segment
+        there = np.arange(1, longest)[:, None] < np.array([len(s) for s in some])[None, :]
+        targets = np.where(there, words[1:], 0)
+        h = np.zeros((len(some), model.state), dtype=np.float32)
+        for t in range(0, longest - 1, window):
+            cut = slice(t, min(t + window, longest - 1))
+            g, h, _ = model.gradients(p, words[:-1][cut], targets[cut], there[cut], h)
+            adam(p, g)
 
 
 def score(model: Model, p: Parameters, texts: list[np.ndarray], window: int = 32, rows: int = 512) -> np.ndarray:

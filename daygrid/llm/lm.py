@@ -2,12 +2,12 @@
 
 1. Counting. Each task cuts its documents into blocks and passes on every block's distinct words with their
    training counts; added up, they are the vocabulary table, which grows with the corpus and never leaves Spark.
-2. Training. Counts of all training tokens set the model's classes and biases. Gated weights are trained on segments: of
-   every training text, one stretch of 64 words in ``RATE`` (by hash of text and place), as truncated backpropagation in numpy. Trainers get
-   about ``TRAINER`` words each and work apart; their weights are averaged, pairwise in a tree, and each of ``ROUNDS`` rounds starts from
-   the last average.
+2. Training. Counts of all training tokens set the model's classes and biases. Gated weights are trained on every word of
+   every training text, in segments of 64 words, by truncated backpropagation in numpy. A trainer is a task over its
+   share of the documents where they are read, so no text moves; trainers work apart, their weights are averaged in a tree, and
+   each of ``ROUNDS`` rounds takes its part of the segments (by hash of text and place) and starts from the last average.
 3. Scoring. The words of a block are joined with the vocabulary and meet the block's documents, sorted so that words come
-   first. Documents are read to their end, with the state carried across windows.
+   first. Documents are read to their end, with the state carried across windows. Repeated rows are dealt out over the blocks that hold them.
 
 The ``FREQUENT`` most frequent words are in classes of 64 with a softmax of their own; every other word is in a class by its ending, and
 its share of that class follows from the counts, smoothed as in the base score: unknown words count half a word.
@@ -18,12 +18,15 @@ columns are not looked at. Without training documents every text has base score
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +35,10 @@ from daygrid.llm.common import small_enough, spread, staged, table
 
 FREQUENT, CLASS, ENDINGS, STATE = 2048, 64, 96, 24
 BLOCK = 12 << 20
-SEGMENT, RATE, WINDOW, ROWS = 64, 16, 32, 64
-TRAINER, LEAST_STEPS, ROUNDS, FAN = 1_000_000, 150, 2, 16
+SEGMENT, WINDOW, ROWS = 64, 32, 256
+LEAST_STEPS, ROUNDS, FAN = 150, 2, 16
+#: Segments that a trainer holds at a time, and the parts over which the copies of one row are dealt.
+HELD, DEALT = 1 << 14, 64
 #: The end token; no word holds white space.
 END = b"\n"
 
@@ -47,13 +52,12 @@ def _ending(word: bytes, endings: int) -> int:
 
 
 def _gather(docs: DataFrame) -> DataFrame:
-    """kind 0: (block, word, training count); kind 1: (block, key); kind 2: (key, word) with a training segment as word."""
+    """kind 0: (block, word, training count); kind 1: (block, key)."""
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter[bytes] = Counter()
         others: set[bytes] = set()
         keys: list[int] = []
-        segments: list[tuple[int, bytes]] = []
         size = 0
 
         def block() -> pd.DataFrame:
@@ -64,9 +68,6 @@ def _gather(docs: DataFrame) -> DataFrame:
                 pd.DataFrame({"kind": 0, "block": name, "key": 0, "word": list(counts), "n": np.fromiter(counts.values(), np.int64, n)}),
                 pd.DataFrame({"kind": 1, "block": name, "key": keys, "word": None, "n": 0}),
             ]
-            if segments:
-                at, body = zip(*segments)
-                parts.append(pd.DataFrame({"kind": 2, "block": name, "key": at, "word": body, "n": [b.count(b" ") + 1 for b in body]}))
             return pd.concat(parts)
 
         for batch in batches:
@@ -78,13 +79,9 @@ def _gather(docs: DataFrame) -> DataFrame:
                     others.update(words)
                 else:
                     counts.update(words)
-                    for at in range(0, len(words), SEGMENT):
-                        if zlib.crc32(b"%d:%d" % (key, at)) % RATE == 0:
-                            # The word before a segment is its first input; a text's first segment has none.
-                            segments.append((key, b" ".join(words[max(at - 1, 0) : at + SEGMENT])))
                 if size >= BLOCK:
                     yield block()
-                    counts, others, keys, segments, size = Counter(), set(), [], [], 0
+                    counts, others, keys, size = Counter(), set(), [], 0
         if keys:
             yield block()
 
@@ -126,39 +123,47 @@ class Counts:
         return np.log10((c + 0.5) / whole[ending])
 
 
-def fit(segments: DataFrame, counts: Counts) -> tuple[gru.Model, gru.Parameters]:
-    """The model, trained on ``segments`` (key, word, n)."""
+def fit(docs: DataFrame, counts: Counts) -> tuple[gru.Model, gru.Parameters]:
+    """The model, trained on all texts of ``docs`` (key, held_out, text) that are not held out."""
     model, parameters = counts.model()
     number = {word: i for i, word in enumerate(counts.words)}
-    words = segments.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    trainers = max(1, round(words / TRAINER / ROUNDS))
-
-    def learner(flat: np.ndarray):
-        def learn(group: pd.DataFrame) -> pd.DataFrame:
-            some = []
-            for body in sorted(bytes(b) for b in group["word"]):
-                own = body.split(b" ")
-                ids = [number[w] if w in number else model.frequent + _ending(w, ENDINGS) for w in own]
-                some.append(np.array([model.start, *ids] if len(own) <= SEGMENT else ids))
-            trained = gru.train(model, model.unpack(flat), some, WINDOW, ROWS, LEAST_STEPS)
-            return pd.DataFrame({"trainer": [int(group["trainer"].iloc[0])], "n": [float(sum(map(len, some)))], "weights": [model.pack(trained).tobytes()]})
+
+    def learner(flat: np.ndarray, turn: int):
+        def segments(batches: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+            for batch in batches:
+                for key, held_out, text in zip(batch["key"], batch["held_out"], batch["text"]):
+                    if held_out:
+                        continue
+                    # The input before a text's first word is a token of its own.
+                    ids = [model.start, *[number[w] if w in number else model.frequent + _ending(w, ENDINGS) for w in tokens(text)]]
+                    for at in range(0, len(ids) - 1, SEGMENT):
+                        if zlib.crc32(b"%d:%d" % (key, at)) % ROUNDS == turn:
+                            yield np.array(ids[at : at + SEGMENT + 1])
+
+        def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            p, adam, held, words, more = model.unpack(flat), gru.Adam(), [], 0, segments(batches)
+            while some := list(itertools.islice(more, HELD)):
+                held = some
+                words += sum(map(len, held))
+                gru.train(model, p, held, WINDOW, ROWS, adam)
+            if held:
+                while adam.turn < LEAST_STEPS:
+                    gru.train(model, p, held, WINDOW, ROWS, adam)
+                yield pd.DataFrame({"trainer": [TaskContext.get().partitionId()], "n": [float(words)], "weights": [model.pack(p).tobytes()]})
 
         return learn
 
     def mean(group: pd.DataFrame) -> pd.DataFrame:
         n = group["n"].to_numpy()
         total = sum(np.frombuffer(w, np.float32) * np.float32(k / n.sum()) for w, k in zip(group["weights"], n))
-        return pd.DataFrame({"trainer": [int(group["trainer"].iloc[0]) // FAN], "n": [n.sum()], "weights": [total.astype(np.float32).tobytes()]})
+        return pd.DataFrame({"trainer": [int(group["part"].iloc[0])], "n": [n.sum()], "weights": [total.astype(np.float32).tobytes()]})
 
+    schema = "trainer long, n double, weights binary"
     for turn in range(ROUNDS):
-        schema = "trainer long, n double, weights binary"
-        hashed = F.xxhash64("key", "word")
-        mine = segments.where(F.pmod(hashed, F.lit(ROUNDS)) == turn)
-        mine = mine.select("word", F.pmod(F.xxhash64("word", "key"), F.lit(trainers)).alias("trainer"))
-        weights = staged(mine.repartition(trainers, "trainer").groupBy("trainer").applyInPandas(learner(model.pack(parameters)), schema), "weights")
-        left = trainers
+        weights = staged(docs.mapInPandas(learner(model.pack(parameters), turn), schema), "weights")
+        left = weights.agg(F.coalesce(F.max("trainer"), F.lit(0))).first()[0] + 1
         while left > FAN:
-            weights = staged(weights.groupBy(F.floor(F.col("trainer") / FAN).alias("group")).applyInPandas(mean, schema), "weights")
+            weights = staged(weights.withColumn("part", F.floor(F.col("trainer") / FAN)).groupBy("part").applyInPandas(mean, schema), "weights")
             left = -(-left // FAN)
         rows = weights.orderBy("trainer").collect()  # at most FAN rows
         if rows:
@@ -171,43 +176,48 @@ def score(docs: DataFrame, text: str = "text", id: str = "doc_id", keep: tuple[s
     """The columns ``keep``, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
     held_out = F.crc32(F.coalesce(F.col(id).cast("string"), F.lit("")).cast("binary")) % 5 == 1
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(*[F.col(c) for c in keep], F.xxhash64(F.col(id), body).alias("_key"), held_out.alias("_held_out"), body.alias("_text"))
-    gathered = _gather(rows.select(F.col("_key").alias("key"), F.col("_held_out").alias("held_out"), F.col("_text").alias("text")))
+    kept = F.struct(*[F.col(c) for c in keep]) if keep else F.struct(F.lit(None).cast("int").alias("none"))
+    rows = docs.select(kept.alias("_kept"), F.xxhash64(F.col(id), body).alias("_key"), held_out.alias("_held_out"), body.alias("_text"))
+    read = rows.select(F.col("_key").alias("key"), F.col("_held_out").alias("held_out"), F.col("_text").alias("text"))
+    gathered = _gather(read)
     words = gathered.where("kind = 0").select("block", "word", "n")
     vocabulary = staged(words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "vocabulary")
     counts = Counts(vocabulary)
-    model, parameters = fit(gathered.where("kind = 2").select("key", "word", "n"), counts)
+    model, parameters = fit(read, counts)
     flat = model.pack(parameters)
 
     known = words.join(counts.top, "word", "left_anti").join(vocabulary, "word", "left")
-    blocks = gathered.where("kind = 1").groupBy("key").agg(F.min("block").alias("_block")).withColumnRenamed("key", "_key")
-    placed = rows.join(small_enough(staged(blocks, "blocks")), "_key")
-    fields = rows.select(*keep).schema.fields
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    # Any block that holds a row has its words. A row with many copies keeps up to DEALT of its blocks, and they are dealt out.
+    dealt = F.pmod(F.xxhash64("block"), F.lit(DEALT))
+    blocks = gathered.where("kind = 1").groupBy("key", dealt.alias("part")).agg(F.min("block").alias("block"))
+    blocks = blocks.groupBy(F.col("key").alias("_key")).agg(F.sort_array(F.collect_list("block")).alias("_blocks"))
+    placed = rows.withColumn("_at", F.monotonically_increasing_id()).join(small_enough(staged(blocks, "blocks")), "_key")
+    chosen = F.element_at("_blocks", (F.pmod(F.xxhash64("_at"), F.size("_blocks")) + 1).cast("int"))
+    placed = placed.withColumn("_block", chosen)
     vocabulary_rows = known.select(
         F.col("block").alias("_block"), F.lit(0).alias("_kind"), F.col("word").alias("_word"), F.coalesce("c", F.lit(0)).alias("_c"),
         F.pmod(F.crc32(F.substring("word", -2, 2)), F.lit(ENDINGS)).cast("int").alias("_ending"),
-        F.lit(None).cast("boolean").alias("_held_out"), F.lit(None).cast("string").alias("_text"), *empty,
+        F.lit(None).cast("boolean").alias("_held_out"), F.lit(None).cast("string").alias("_text"), F.lit(None).cast(rows.schema["_kept"].dataType).alias("_kept"),
     )
     text_rows = placed.select(
         "_block", F.lit(1).alias("_kind"), F.lit(None).cast("binary").alias("_word"), F.lit(0).cast("long").alias("_c"),
-        F.lit(0).alias("_ending"), "_held_out", "_text", *keep,
+        F.lit(0).alias("_ending"), "_held_out", "_text", "_kept",
     )
     sorted_ = spread(vocabulary_rows.unionAll(text_rows), "_block").sortWithinPartitions("_block", "_kind")
-    names = list(keep)
     top = {word: i for i, word in enumerate(counts.words)}
     top_counts = counts.counts
     total = counts.total
     # Only arrays travel to the tasks, not the frames that Counts holds.
     base, share = _Plain(counts).base, _Plain(counts).share
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judge_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = model.unpack(flat)
         block, index, seen, endings = None, {}, [], []
         held: list[pd.DataFrame] = []
+        carried: list[pa.Array] = []
         size = 0
 
-        def judge() -> pd.DataFrame:
+        def judge() -> pa.RecordBatch:
             c = np.concatenate((top_counts, *seen))
             ending = np.concatenate((np.zeros(0, dtype=np.int64), *endings))
             ids = np.concatenate((np.arange(len(top_counts)), model.frequent + ending))
@@ -216,16 +226,21 @@ def score(docs: DataFrame, text: str = "text", id: str = "doc_id", keep: tuple[s
             batch = pd.concat(held)
             texts = [np.array(list(map(index.__getitem__, tokens(t))), dtype=np.int64) for t in batch["_text"]]
             likely = gru.score(model, weights, [ids[t] for t in texts], WINDOW)
-            out = batch[names].copy()
-            out["held_out"] = batch["_held_out"].astype(bool)
-            out["n_tokens"] = [len(t) for t in texts]
-            out["n_known"] = [int((c[t] > 0).sum()) for t in texts]
-            out["train_tokens"] = total
-            out["base_score"] = [float(plain[t].sum()) for t in texts]
-            out["score"] = [float(s / np.log(10) + within[t].sum()) for s, t in zip(likely, texts)]
-            return out
+            columns = [
+                pa.concat_arrays(carried),
+                pa.array(batch["_held_out"].astype(bool)),
+                pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([int((c[t] > 0).sum()) for t in texts], pa.int64()),
+                pa.array([total] * len(texts), pa.int64()),
+                pa.array([float(plain[t].sum()) for t in texts], pa.float64()),
+                pa.array([float(s / np.log(10) + within[t].sum()) for s, t in zip(likely, texts)], pa.float64()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["_kept", *_SCORES])
 
-        for batch in batches:
+        for arrow in batches:
+            # What is kept stays in Arrow: whole numbers beside nulls would become fractions in pandas.
+            own = arrow.column("_kept")
+            batch = arrow.drop_columns(["_kept"]).to_pandas()
             cuts = np.flatnonzero(np.diff(batch["_block"].to_numpy())) + 1
             for a, b in zip([0, *cuts], [*cuts, len(batch)]):
                 part = batch.iloc[a:b]
@@ -234,24 +249,28 @@ def score(docs: DataFrame, text: str = "text", id: str = "doc_id", keep: tuple[s
                 if block != part["_block"].iloc[0]:
                     if held:
                         yield judge()
-                    block, index, seen, endings, held, size = part["_block"].iloc[0], dict(top), [], [], [], 0
-                fresh = part[part["_kind"] == 0]
+                    block, index, seen, endings, held, carried, size = part["_block"].iloc[0], dict(top), [], [], [], [], 0
+                fresh = part[part["_kind"] == 0]  # words come before texts
                 index.update(zip(fresh["_word"], range(len(index), len(index) + len(fresh))))
                 seen.append(fresh["_c"].to_numpy(np.float64))
                 endings.append(fresh["_ending"].to_numpy(np.int64))
-                texts = part[part["_kind"] == 1]
+                texts = part.iloc[len(fresh) :]
                 if len(texts):
                     held.append(texts)
+                    carried.append(own.slice(a + len(fresh), len(texts)))
                     size += texts["_text"].str.len().sum()
                     if size > BLOCK:
                         yield judge()
-                        held, size = [], 0
+                        held, carried, size = [], [], 0
         if held:
             yield judge()
 
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
-    more = ["held_out boolean", "n_tokens long", "n_known long", "train_tokens long", "base_score double", "score double"]
-    return sorted_.mapInPandas(read, ", ".join([*kept, *more]))
+    schema = ", ".join(f"{name} {kind}" for name, kind in _SCORES.items())
+    scored = sorted_.mapInArrow(judge_all, f"_kept {rows.schema['_kept'].dataType.simpleString()}, {schema}")
+    return scored.select(*[F.col(f"_kept.`{c}`").alias(c) for c in keep], *_SCORES)
+
+
+_SCORES = {"held_out": "boolean", "n_tokens": "long", "n_known": "long", "train_tokens": "long", "base_score": "double", "score": "double"}
 
 
 class _Plain(Counts):

@@ -306,3 +306,72 @@ def test_pipeline(spark):
         taken[r.source] = taken.get(r.source, 0) + len(brute.words(r.text))
     assert all(taken.get(s, 0) <= 2.1 * n for s, n in size.items())
     assert abs(sum(taken.values()) / sum(size.values()) - 1.5) < 0.2
+
+
+def plain_likelihood(model, p, words):
+    """Natural log-likelihood, word by word; rare words by their class alone."""
+    import numpy as np
+
+    n, h, total, before = model.state, np.zeros(model.state), 0.0, model.start
+    for word in words:
+        x, again = p["into"][before], h @ p["again"]
+        z, r = (1 / (1 + np.exp(-(x[k * n : k * n + n] + again[k * n : k * n + n]))) for k in (0, 1))
+        h = z * h + (1 - z) * np.tanh(x[2 * n :] + r * (again[2 * n :] + p["shift"]))
+        logits = h @ p["to_class"] + p["class_bias"]
+        head = int(model.class_of(np.array([word]))[0])
+        total += logits[head] - np.log(np.exp(logits).sum())
+        if word < model.frequent:
+            within = h @ p["to_word"][head] + p["word_bias"][head]
+            total += within[word % model.size] - np.log(np.exp(within).sum())
+        before = word
+    return total
+
+
+def small_model():
+    import numpy as np
+
+    from daygrid.llm import gru
+
+    model, draw = gru.Model(10, 4, 3, 5), np.random.default_rng(8)
+    p = {name: draw.standard_normal(shape) * 0.5 for name, shape in model.shapes().items()}
+    return gru, model, p, draw
+
+
+def test_likelihood_of_the_recurrent_model():
+    import numpy as np
+
+    gru, model, p, draw = small_model()
+    texts = [draw.integers(0, 13, n) for n in (1, 2, 31, 32, 33, 100)]
+    found = gru.score(model, p, texts, window=32, rows=4)
+    assert np.allclose(found, [plain_likelihood(model, p, t.tolist()) for t in texts], atol=1e-3)
+
+
+def test_gradients_of_the_recurrent_model():
+    import numpy as np
+
+    gru, model, p, draw = small_model()
+    inputs, targets = draw.integers(0, 14, (6, 3)), draw.integers(0, 13, (6, 3))
+    there = np.arange(6)[:, None] < np.array([6, 2, 4])
+    h = draw.standard_normal((3, 5))
+    g, _, _ = model.gradients(p, inputs, targets, there, h)
+    for name in p:
+        for _ in range(6):
+            at = tuple(int(draw.integers(n)) for n in p[name].shape)
+            losses = []
+            for step in (1e-5, -1e-5):
+                q = {k: v.copy() for k, v in p.items()}
+                q[name][at] += step
+                losses.append(model.gradients(q, inputs, targets, there, h)[2])
+            assert abs((losses[0] - losses[1]) / 2e-5 / there.sum() - g[name][at]) < 1e-6, (name, at)
+
+
+def test_language_model_learns_and_deals_out_copies(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK", 4000)
+    draw = random.Random(9)
+    cycle = [f"w{k}" for k in range(12)]
+    docs = [(k, " ".join(cycle[(k + i) % 12] for i in range(draw.randint(20, 90)))) for k in range(150)]
+    docs += [(999, docs[0][1])] * 60
+    found = lm.score(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), keep=("doc_id",)).collect()
+    assert len(found) == len(docs) and len({round(r.score, 3) for r in found if r.doc_id == 999}) == 1
+    held = [r for r in found if r.held_out]
+    assert held and sum(r.score for r in held) > 0.6 * sum(r.base_score for r in held)
