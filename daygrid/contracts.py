@@ -121,17 +121,21 @@ def create_table(
     stands_in_for: str | None = None,
     location: str | None = None,
     table_format: str = "parquet",
+    clustering: tuple[str, int] | None = None,
 ) -> bool:
     """Create the table (and its schema) if absent; comments are stored on first creation only.
 
     ``partition_by`` holds derived columns (see ``operators.upsert.PartitionBy``), stored after the contract's own.
-    Returns True when the table was created now.
+    ``clustering`` (a column, and into how many files a partition is split by its hash) is part of the table's
+    definition, so that joins know it. Returns True when the table was created now.
     """
     if "." in table:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rsplit('.', 1)[0]}")
     existed = spark.catalog.tableExists(table)
     stored = StructType(schema.fields + (partition_by.fields if partition_by else []))
     partitioning = f" PARTITIONED BY ({', '.join(partition_by.names)})" if partition_by else ""
+    if clustering:
+        partitioning += f" CLUSTERED BY ({clustering[0]}) INTO {clustering[1]} BUCKETS"
     placed = f" LOCATION {sql_quoted(location)}" if location else ""
     columns = ddl_columns(stored)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (\n    {columns}\n) USING {table_format}{partitioning}{placed}")

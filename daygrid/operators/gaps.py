@@ -92,8 +92,23 @@ def _bit(position: str) -> str:
     return f"shiftleft(1L, {position})"
 
 
+def day_masks(stored: DataFrame, key: str = "cell_key", day: str = "date", *more: str) -> DataFrame:
+    """``key, block, present`` and ``more``: a mask with one bit for every stored row. Rows without key or date have none."""
+    return stored.where(f"`{key}` IS NOT NULL AND `{day}` IS NOT NULL").selectExpr(
+        f"`{key}`",
+        f"{_block(f'`{day}`')} AS block",
+        f"{_bit(f'pmod(unix_date(`{day}`), {DAYS_PER_BLOCK})')} AS present",
+        *more,
+    )
+
+
 def missing_blocks(ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day: str = "date") -> DataFrame:
     """``key, block, missing``: a mask of the missing days of every block that has any."""
+    return uncovered_blocks(ranges, day_masks(stored, key, day), key)
+
+
+def uncovered_blocks(ranges: DataFrame, masks: DataFrame, key: str = "cell_key") -> DataFrame:
+    """``missing_blocks`` from masks of stored days, in any number of rows for a key and block."""
     spine = ranges.where("start_date <= end_date").selectExpr(
         f"`{key}`",
         "unix_date(start_date) AS first",
@@ -103,35 +118,68 @@ def missing_blocks(ranges: DataFrame, stored: DataFrame, key: str = "cell_key",
     low = f"greatest(first - block * {DAYS_PER_BLOCK}, 0)"
     high = f"least(last - block * {DAYS_PER_BLOCK}, {DAYS_PER_BLOCK - 1})"
     wanted = spine.selectExpr(f"`{key}`", "block", f"{_bit(f'{high} + 1')} - {_bit(low)} AS wanted", "0L AS present")
-    have = stored.where(f"`{key}` IS NOT NULL AND `{day}` IS NOT NULL").selectExpr(
-        f"`{key}`",
-        f"{_block(f'`{day}`')} AS block",
-        "0L AS wanted",
-        f"{_bit(f'pmod(unix_date(`{day}`), {DAYS_PER_BLOCK})')} AS present",
-    )
+    have = masks.selectExpr(f"`{key}`", "block", "0L AS wanted", "present")
     merged = wanted.union(have).groupBy(key, "block").agg(F.expr("bit_or(wanted) & ~bit_or(present)").alias("missing"))
     return merged.where("missing <> 0")
 
 
 def gap_report(ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day: str = "date") -> DataFrame:
     """Keys with missing days: how many, the earliest and the latest. Keys without any do not appear."""
+    return report_of(missing_blocks(ranges, stored, key, day), key)
+
+
+def report_of(blocks: DataFrame, key: str = "cell_key") -> DataFrame:
+    """``gap_report`` from the masks of missing days."""
     lowest_bit, highest_bit = "bit_count((missing & -missing) - 1)", "length(bin(missing)) - 1"
-    return (
-        missing_blocks(ranges, stored, key, day)
-        .groupBy(key)
-        .agg(
-            F.expr("sum(bit_count(missing))").alias("missing_date_count"),
-            F.expr(f"date_from_unix_date(min(block * {DAYS_PER_BLOCK} + {lowest_bit}))").alias("earliest_gap"),
-            F.expr(f"date_from_unix_date(max(block * {DAYS_PER_BLOCK} + {highest_bit}))").alias("latest_gap"),
-        )
+    return blocks.groupBy(key).agg(
+        F.expr("sum(bit_count(missing))").alias("missing_date_count"),
+        F.expr(f"date_from_unix_date(min(block * {DAYS_PER_BLOCK} + {lowest_bit}))").alias("earliest_gap"),
+        F.expr(f"date_from_unix_date(max(block * {DAYS_PER_BLOCK} + {highest_bit}))").alias("latest_gap"),
+    )
+
+
+def days_of(blocks: DataFrame, key: str = "cell_key", mask: str = "missing") -> DataFrame:
+    """One (key, date) for every bit of the masks."""
+    bits = f"filter(sequence(0, {DAYS_PER_BLOCK - 1}), bit -> {mask} & {_bit('bit')} <> 0)"
+    unpacked = blocks.selectExpr(f"`{key}`", "block", f"explode({bits}) AS bit")
+    return unpacked.selectExpr(f"`{key}`", f"date_from_unix_date(block * {DAYS_PER_BLOCK} + bit) AS date")
+
+
+def gap_intervals(blocks: DataFrame, key: str = "cell_key") -> DataFrame:
+    """``key, gap_start, gap_end``: every run of missing days, however many blocks it spans.
+
+    Runs end inside a block by its bits alone. Only the runs that touch a block's edge meet those of the next block, in a
+    window over one row per block, and only first and last days are unpacked. A key's window is bounded by the calendar.
+    """
+    top = _bit(str(DAYS_PER_BLOCK - 1))
+    by_block = Window.partitionBy(key).orderBy("block")
+    seen = blocks.select(
+        key,
+        "block",
+        "missing",
+        (F.lag("block").over(by_block) == F.col("block") - 1).alias("follows"),
+        F.lag("missing").over(by_block).alias("earlier"),
+        (F.lead("block").over(by_block) == F.col("block") + 1).alias("goes_on"),
+        F.lead("missing").over(by_block).alias("later"),
     )
+    edges = seen.select(
+        key,
+        "block",
+        # A run begins at a missing day whose day before is not missing, and ends where the day after is not.
+        F.expr(f"missing & ~(shiftleft(missing & ~{top}, 1) | if(follows AND earlier & {top} <> 0, 1L, 0L))").alias("begins"),
+        F.expr(f"missing & ~(shiftright(missing, 1) | if(goes_on AND later & 1 <> 0, {top}, 0L))").alias("ends"),
+    )
+    begins, ends = (days_of(edges.where(f"{side} <> 0"), key, side) for side in ("begins", "ends"))
+    marks = begins.withColumn("side", F.lit(0)).unionAll(ends.withColumn("side", F.lit(1)))
+    # Every beginning is followed by its own end, on the same day for a single missing one.
+    following = F.lead("date").over(Window.partitionBy(key).orderBy("date", "side"))
+    paired = marks.withColumn("gap_end", following).where("side = 0")
+    return paired.select(key, F.col("date").alias("gap_start"), "gap_end")
 
 
 def missing_days(ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day: str = "date") -> DataFrame:
     """Every (key, date) without a stored row, unpacked from the masks: rows appear for missing days only."""
-    bits = f"filter(sequence(0, {DAYS_PER_BLOCK - 1}), bit -> missing & {_bit('bit')} <> 0)"
-    unpacked = missing_blocks(ranges, stored, key, day).selectExpr(f"`{key}`", "block", f"explode({bits}) AS bit")
-    return unpacked.selectExpr(f"`{key}`", f"date_from_unix_date(block * {DAYS_PER_BLOCK} + bit) AS date")
+    return days_of(missing_blocks(ranges, stored, key, day), key)
 
 
 def first_missing_date(ranges: DataFrame, stored: DataFrame, key: str = "cell_key", day: str = "date") -> DataFrame:
@@ -161,14 +209,31 @@ def fetch_ranges(
     The start is the first missing day or the start of the trailing window, whichever is earlier; stored days are
     looked at up to the run date. ``cap_days`` (trial runs) keeps the start within so many days of the run date.
     """
-    rolling = F.lit(run_date - timedelta(days=refresh_days))
-    ranges = cells.select(key, F.col("backfill_from_date").alias("start_date"), F.lit(run_date).alias("end_date"))
     known = stored.where(F.col(day) <= F.lit(run_date))
+    first = first_missing_date(wanted_ranges(cells, run_date, key), known, key, day)
+    return fetch_ranges_from(cells, first, run_date, refresh_days, cap_days, key)
+
+
+def wanted_ranges(cells: DataFrame, run_date: date, key: str = "cell_key") -> DataFrame:
+    """The days a run looks at, per cell: from its start to the run date."""
+    return cells.select(key, F.col("backfill_from_date").alias("start_date"), F.lit(run_date).alias("end_date"))
+
+
+def fetch_ranges_from(
+    cells: DataFrame,
+    first_missing: DataFrame,
+    run_date: date,
+    refresh_days: int = fixed.ROLLING_REFRESH_DAYS,
+    cap_days: int | None = None,
+    key: str = "cell_key",
+) -> DataFrame:
+    """``fetch_ranges`` where the first missing days (``key, first_missing_date``) are known already."""
+    rolling = F.lit(run_date - timedelta(days=refresh_days))
     start = F.least(F.col("first_missing_date"), rolling)  # least skips NULL: nothing missing gives the window start
     if cap_days is not None:
         start = F.greatest(start, F.lit(run_date - timedelta(days=cap_days)))
     return (
-        cells.join(first_missing_date(ranges, known, key, day), key, "left")
+        cells.join(first_missing, key, "left")
         .withColumn("fetch_start", start)
         .withColumn("needs_backfill", F.col("fetch_start") < rolling)
         .drop("first_missing_date")

@@ -3,28 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from daygrid.contracts import enforce_not_null
 from daygrid.functions.text import sql_quoted
+from daygrid.operators.day_index import DayIndex
+from daygrid.operators.layout import PartitionBy, overwriting
 from daygrid.session import delete_work_folder, new_work_folder
 
 KEYS = ("cell_key", "date")
 REPEATED_KEY = "upsert source holds a key more than once"
-# Shares of a month in the default layout; a table keeps the number it was created with.
-BUCKETS = 16
-
-# Inserting into a table takes the overwrite mode from the session, not from the writer. The second setting is the
-# HotSpot limit above which a method is never compiled: a wide row's generated code passes it, and Spark then does
-# better with several smaller methods.
-_WRITE_SETTINGS = {
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+# A table clustered by the cell alone may serve a join by cell and day.
+_CLUSTER_SETTINGS = {
+    "spark.sql.sources.bucketing.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -103,43 +99,6 @@ def upsert(
     return joined.selectExpr(*[result(name) for name in target.columns])
 
 
-def _by_month() -> dict[str, Column]:
-    return {"month": F.date_format("date", "yyyy-MM")}
-
-
-def _by_bucket(buckets: int = BUCKETS, key: str = "cell_key") -> dict[str, Column]:
-    return {"bucket": F.lpad(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"), 4, "0")}
-
-
-@dataclass(frozen=True)
-class PartitionBy:
-    """Partition columns derived from the key, so that an upsert knows which partitions it touches.
-
-    The default is the month of the date, split by a hash of the key. A daily run refreshes the last 30 days of *every*
-    key: by month it rewrites two or three months, where directories per key would make it rewrite all of them. A new
-    cell's whole history, or an old gap, rewrites one bucket of each month instead of the table.
-    """
-
-    columns: dict[str, Column] = field(default_factory=lambda: {**_by_month(), **_by_bucket()})
-
-    @classmethod
-    def month(cls) -> PartitionBy:
-        """Months alone, for tables so small that buckets would only make small files."""
-        return cls(_by_month())
-
-    @classmethod
-    def month_and_bucket(cls, buckets: int = BUCKETS, key: str = "cell_key") -> PartitionBy:
-        """The default layout with another number of buckets; the daily refresh costs the same whatever it is."""
-        return cls({**_by_month(), **_by_bucket(buckets, key)})
-
-    @property
-    def schema(self) -> StructType:
-        return StructType([StructField(name, StringType(), False) for name in self.columns])
-
-    def add_to(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({name: value.cast("string") for name, value in self.columns.items()})
-
-
 @dataclass(frozen=True)
 class UpsertResult:
     incoming_rows: int
@@ -154,6 +113,7 @@ def upsert_table(
     run_ts: datetime | Column | None = None,
     required: Sequence[str] = KEYS,
     partition_by: PartitionBy | None = None,
+    index: DayIndex | None = None,
 ) -> UpsertResult:
     """Upsert ``source`` into a partitioned table; returns the number of incoming rows. No rows, no write.
 
@@ -165,7 +125,8 @@ def upsert_table(
 
     Use a table, never a bare path, as the target: Spark lets a table be read while its partitions are overwritten in
     dynamic mode, but deletes a path before reading it. The overwrite is atomic per partition at best, not across
-    partitions; a rerun with the same source repairs a run that died while committing.
+    partitions; a rerun with the same source repairs a run that died while committing. ``index`` is told of the
+    delivered days once they are stored.
     """
     partition_by = partition_by or PartitionBy()
     staged_at = new_work_folder(spark, "upsert")
@@ -174,7 +135,7 @@ def upsert_table(
     staged.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged_at)
     try:
         incoming = spark.read.schema(staged.schema).parquet(staged_at)
-        touched = merge_staged(spark, incoming, table, keys, run_ts, partition_by)
+        touched = merge_staged(spark, incoming, table, keys, run_ts, partition_by, index=index)
         return UpsertResult(seen.get["rows"], touched)
     finally:
         delete_work_folder(spark, staged_at)
@@ -188,6 +149,7 @@ def merge_staged(
     run_ts: datetime | Column | None = None,
     partition_by: PartitionBy | None = None,
     absent: str | None = None,
+    index: DayIndex | None = None,
 ) -> int:
     """Steps 2 and 3 of ``upsert_table`` for rows that are stored already; returns the number of partitions touched.
 
@@ -199,21 +161,36 @@ def merge_staged(
     touched = _touched_partitions(incoming, keys, names)
     if not touched:
         return 0
-    # A session of its own: the overwrite mode of other writers in this one neither matters nor changes.
-    own = spark.newSession()
-    for name, value in {**_inherited(spark), **_WRITE_SETTINGS}.items():
-        own.conf.set(name, value)
-    target = _partitions(own, table, names, touched)
-    merged = upsert(target, incoming, [*keys, *names], run_ts, absent=absent, check_keys=False).hint("rebalance", *names)
-    merged.sortWithinPartitions(*names, *keys).write.insertInto(table, overwrite=True)
+    rows = merged_rows(spark, incoming, table, touched, keys, run_ts, partition_by, absent)
+    rows.sortWithinPartitions(*names, *keys).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
+    if index:
+        index.add(incoming)  # only now: the index never has a day that the table lacks
     return len(touched)
 
 
-def _inherited(spark: SparkSession) -> dict[str, str]:
-    """Settings of the caller's session that decide a write's meaning or size."""
-    names = ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.ansi.enabled")
-    return {name: spark.conf.get(name) for name in names}
+def merged_rows(
+    spark: SparkSession,
+    incoming: DataFrame,
+    table: str,
+    touched: list[tuple],
+    keys: Sequence[str] = KEYS,
+    run_ts: datetime | Column | None = None,
+    partition_by: PartitionBy | None = None,
+    absent: str | None = None,
+) -> DataFrame:
+    """What the ``touched`` partitions hold after the upsert, dealt out as it is to be written.
+
+    In a clustered layout the table's own clusters deal out the join, so the stored rows are not moved. Otherwise both
+    sides are shuffled, and the result is rebalanced by size.
+    """
+    partition_by = partition_by or PartitionBy()
+    names = list(partition_by.columns)
+    clustered = {**_CLUSTER_SETTINGS, "spark.sql.shuffle.partitions": str(partition_by.clusters)}
+    own = overwriting(spark, clustered if partition_by.clusters else {})
+    target = partition_by.only(own.table(table), touched)
+    merged = upsert(target, incoming, [*keys, *names], run_ts, absent=absent, check_keys=False)
+    return merged if partition_by.clusters else merged.hint("rebalance", *names)
 
 
 def _touched_partitions(incoming: DataFrame, keys: Sequence[str], names: Sequence[str]) -> list[tuple]:
@@ -227,15 +204,47 @@ def _touched_partitions(incoming: DataFrame, keys: Sequence[str], names: Sequenc
     return [tuple(partition) for partition in found["touched"]]
 
 
-def _partitions(spark: SparkSession, table: str, names: Sequence[str], touched: list[tuple]) -> DataFrame:
-    """Rows of the listed partitions. Values per column prune the directories; combinations are then matched exactly."""
-    rows = spark.table(table)
-    for name, values in zip(names, zip(*touched, strict=True), strict=True):
-        rows = rows.where(F.col(name).isin(*set(values)))
-    if len(names) == 1:
-        return rows
-    listed = spark.createDataFrame(touched, ", ".join(f"{name} string" for name in names))
-    return rows.join(listed, list(names), "left_semi").select(*rows.columns)  # the join moves its keys to the front
+def replace_partitions(
+    spark: SparkSession,
+    rows: DataFrame,
+    table: str,
+    also: Sequence[tuple] = (),
+    required: Sequence[str] = KEYS,
+    partition_by: PartitionBy | None = None,
+    index: DayIndex | None = None,
+) -> int:
+    """Rewrite whole partitions: those of ``rows``, and the listed ones in ``also``; returns how many.
+
+    ``rows`` is all that these partitions hold afterwards, so a listed partition without rows is emptied. The days of
+    rewritten partitions leave the index first and come back from the rows written.
+    """
+    partition_by = partition_by or PartitionBy()
+    names = list(partition_by.columns)
+    staged_at = new_work_folder(spark, "rewrite")
+    staged = enforce_not_null(partition_by.add_to(rows), [*required, *names])
+    staged.write.parquet(staged_at)
+    try:
+        own = overwriting(spark)
+        stored = own.read.schema(staged.schema).parquet(staged_at)
+        written = {tuple(row) for row in stored.select(*names).distinct().collect()}  # as many as there are partitions
+        touched = sorted(written | {tuple(partition) for partition in also})
+        if not touched:
+            return 0
+        if index:
+            index.clear(spark, touched)
+        columns = own.table(table).columns
+        stored.select(*columns).hint("rebalance", *names).write.insertInto(table, overwrite=True)
+        data = ", ".join(f"`{name}`" for name in columns if name not in names)
+        for partition in touched:
+            if partition not in written:
+                place = ", ".join(f"{name} = {sql_quoted(value)}" for name, value in zip(names, partition))
+                own.sql(f"INSERT OVERWRITE {table} PARTITION ({place}) SELECT {data} FROM {{none}}", none=stored.limit(0))
+        spark.catalog.refreshTable(table)
+        if index:
+            index.add(spark.read.schema(staged.schema).parquet(staged_at))
+        return len(touched)
+    finally:
+        delete_work_folder(spark, staged_at)
 
 
 def replace_table(df: DataFrame, table: str, required: Sequence[str]) -> int:

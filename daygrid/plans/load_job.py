@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from daygrid import fixed_values as fixed
 from daygrid.contracts import OBSERVATION_SCHEMA, create_table
 from daygrid.operators import gaps
+from daygrid.operators.day_index import DayIndex
+from daygrid.operators.layout import PartitionBy
 from daygrid.operators.mapping import grid_cells
 from daygrid.operators.outcomes import ACCEPTED, fetch_outcomes, run_summary
-from daygrid.operators.upsert import KEYS, PartitionBy, merge_staged, repeated_keys
+from daygrid.operators.upsert import KEYS, merge_staged, repeated_keys
 from daygrid.session import delete_work_folder, new_work_folder
 from daygrid.sources import responses
 
@@ -45,19 +47,26 @@ def create_observation_table(
     """A layout other than the default is chosen here once, and then passed to every load too."""
     partition_by = partition_by or PartitionBy()
     return create_table(
-        spark, table, OBSERVATION_SCHEMA, TABLE_COMMENT, partition_by.schema, stands_in_for, location
+        spark, table, OBSERVATION_SCHEMA, TABLE_COMMENT, partition_by.schema, stands_in_for, location,
+        clustering=partition_by.clustering,
     )
 
 
 def plan_fetches(
-    spark: SparkSession, mapping_table: str, table: str, run_date: date, trial: bool = False
+    spark: SparkSession, mapping_table: str, table: str, run_date: date, trial: bool = False, index: DayIndex | None = None
 ) -> DataFrame:
-    """The requests of a run, one per cell. A trial run takes the first few cells and a short period."""
+    """The requests of a run, one per cell. A trial run takes the first few cells and a short period.
+
+    With an ``index`` that the loads keep up to date, no observation is read.
+    """
     cells = grid_cells(spark.table(mapping_table))
     if trial:
         cells = gaps.trial_slice(cells)
     cap = fixed.TEST_MODE_DAYS if trial else None
-    ranges = gaps.fetch_ranges(cells, spark.table(table), run_date, cap_days=cap)
+    if index:
+        ranges = index.fetch_ranges(cells, run_date, cap_days=cap)
+    else:
+        ranges = gaps.fetch_ranges(cells, spark.table(table), run_date, cap_days=cap)
     return gaps.fetch_requests(ranges, run_date)
 
 
@@ -97,6 +106,7 @@ def load_records(
     newest_by: str | None = None,
     failed_before: DataFrame | None = None,
     answered: DataFrame | None = None,
+    index: DayIndex | None = None,
 ) -> LoadResult:
     """Normalise records, refuse the bad ones and upsert the rest.
 
@@ -107,7 +117,8 @@ def load_records(
     ``newest_by`` names a record column that orders deliveries: when several hold the same day of a cell, each column
     is taken from the newest one that has it, as if they were loaded one by one. Without it the location is refused.
     ``failed_before`` (``cell_key, problem``) names locations that never got as far as a response to parse, and
-    ``answered`` (``cell_key``) all that the summary is to count, with records or without.
+    ``answered`` (``cell_key``) all that the summary is to count, with records or without. ``index`` is told of the days
+    that were stored.
     """
     parsed_at, failed_at = new_work_folder(spark, "parsed"), new_work_folder(spark, "refused")
     placed = F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("cell_key").isNotNull()
@@ -133,7 +144,8 @@ def load_records(
         data = [name for name in OBSERVATION_SCHEMA.names if name not in (*KEYS, *_STAMPS)]
         if any_doubled and newest_by:
             incoming = _newest_delivery(incoming, doubled, newest_by, data)
-        merge_staged(spark, incoming.select(*KEYS, *data, "absent"), table, run_ts=run_ts, partition_by=partition_by, absent="absent")
+        rows = incoming.select(*KEYS, *data, "absent")
+        merge_staged(spark, rows, table, run_ts=run_ts, partition_by=partition_by, absent="absent", index=index)
 
         stored, refused = F.col("problem").isNull().cast("long").alias("stored"), F.lit(0).alias("refused")
         per_location = parsed.select("cell_key", stored, refused).unionByName(
@@ -183,13 +195,14 @@ def load_landed_files(
     partition_by: PartitionBy | None = None,
     whole_file_bytes: int = responses.WHOLE_FILE_BYTES,
     requests: DataFrame | None = None,
+    index: DayIndex | None = None,
 ) -> LoadResult:
     """Load every response file under ``path/cell_key=<key>/``; ``requests`` are those planned, as in ``load_attempts``."""
     records = responses.read_landed(spark, path, RESPONSE_COLUMNS, whole_file_bytes=whole_file_bytes)
     answered = responses.landed_files(spark, path).select("cell_key").distinct()
     failed = _unanswered(requests, answered) if requests is not None else None
     return load_records(
-        spark, records, table, run_ts, partition_by, newest_by="landed", failed_before=failed, answered=answered
+        spark, records, table, run_ts, partition_by, newest_by="landed", failed_before=failed, answered=answered, index=index
     )
 
 
@@ -206,6 +219,7 @@ def load_attempts(
     run_ts: datetime | Column | None = None,
     partition_by: PartitionBy | None = None,
     requests: DataFrame | None = None,
+    index: DayIndex | None = None,
 ) -> LoadResult:
     """Load a log of fetch attempts: ``cell_key, attempt, status, body``.
 
@@ -227,4 +241,4 @@ def load_attempts(
     answered = attempts.select("cell_key").distinct()
     if requests is not None:
         failed = failed.unionByName(_unanswered(requests, answered))
-    return load_records(spark, records, table, run_ts, partition_by, failed_before=failed, answered=answered)
+    return load_records(spark, records, table, run_ts, partition_by, failed_before=failed, answered=answered, index=index)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from daygrid.operators.upsert import PartitionBy
+from daygrid.operators.day_index import DayIndex
+from daygrid.operators.layout import PartitionBy
 from daygrid.plans.load_job import RESPONSE_COLUMNS, LoadResult, load_records
 from daygrid.session import shared_folder
 from daygrid.sources.responses import landed_order, split_bodies
@@ -23,6 +24,7 @@ def load_landing_folder(
     files_per_batch: int = 10_000,
     partition_by: PartitionBy | None = None,
     on_batch: Callable[[int, LoadResult], None] | None = None,
+    index: DayIndex | None = None,
 ) -> StreamingQuery:
     """Load the response files that are new since the last call, then stop.
 
@@ -40,7 +42,7 @@ def load_landing_folder(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         records = split_bodies(batch, RESPONSE_COLUMNS)
-        result = load_records(spark, records, table, partition_by=partition_by, newest_by="landed")
+        result = load_records(spark, records, table, partition_by=partition_by, newest_by="landed", index=index)
         if on_batch is not None:
             on_batch(batch_id, result)
         result.close()

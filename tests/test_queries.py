@@ -20,6 +20,10 @@ WRITERS = {
     "landed_files_by_line",
     "obs_upsert_table",
     "backfill_by_bucket",
+    "first_missing_date_indexed",
+    "fetch_ranges_indexed",
+    "gap_report_indexed",
+    "index_differences",
     "daily_load",
     "load_summary",
     "landed_load",

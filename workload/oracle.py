@@ -200,14 +200,31 @@ ORACLE["streamed_load"] = ORACLE["landed_load"]
 # --- checks on observations ------------------------------------------------------------------------------------------
 uncovered = "SELECT cell_key FROM {mapped} m WHERE NOT EXISTS (SELECT 1 FROM {rows} r WHERE r.cell_key = m.cell_key)"
 ORACLE["dq_coverage"] = "SELECT DISTINCT cell_key FROM (" + uncovered.format(mapped=cells, rows=stored) + ")"
-part_gaps = f"""(SELECT cell_key, count(*) AS missing_date_count, CAST(min(date) AS VARCHAR) AS earliest_gap,
-    CAST(max(date) AS VARCHAR) AS latest_gap FROM (
+part_missing = f"""(SELECT cell_key, date FROM (
     SELECT cell_key, CAST(unnest(generate_series(backfill_from_date, DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS date
     FROM {parts}) spine
-    WHERE NOT EXISTS (SELECT 1 FROM {observations} o WHERE o.cell_key = spine.cell_key AND o.date = spine.date)
-    GROUP BY cell_key)"""
+    WHERE NOT EXISTS (SELECT 1 FROM {observations} o WHERE o.cell_key = spine.cell_key AND o.date = spine.date))"""
+part_gaps = f"""(SELECT cell_key, count(*) AS missing_date_count, CAST(min(date) AS VARCHAR) AS earliest_gap,
+    CAST(max(date) AS VARCHAR) AS latest_gap FROM {part_missing} GROUP BY cell_key)"""
 ORACLE["dq_date_completeness"] = f"SELECT * FROM {part_gaps}"
 
+# Runs of consecutive missing days: a day less its rank is the same for all days of a run.
+ORACLE["gap_intervals"] = f"""SELECT cell_key, CAST(min(date) AS VARCHAR) AS gap_start, CAST(max(date) AS VARCHAR) AS gap_end
+    FROM (SELECT cell_key, date, date - CAST(row_number() OVER (PARTITION BY cell_key ORDER BY date) AS INTEGER) AS run
+          FROM {part_missing}) GROUP BY cell_key, run"""
+
+# --- the stored index of days ----------------------------------------------------------------------------------------
+ORACLE["first_missing_date_indexed"] = ORACLE["first_missing_date"]
+ORACLE["fetch_ranges_indexed"] = ORACLE["fetch_ranges"]
+_left = f"""(SELECT cell_key, date FROM (SELECT cell_key, date FROM {target} UNION SELECT cell_key, date FROM {source})
+    WHERE year(date) <> 1996 AND NOT (year(date) = 1998 AND (date - DATE '1998-01-01') % 7 = 3))"""
+ORACLE["gap_report_indexed"] = f"""SELECT cell_key, count(*) AS missing_date_count, CAST(min(day) AS VARCHAR) AS earliest_gap,
+        CAST(max(day) AS VARCHAR) AS latest_gap
+    FROM (SELECT DISTINCT cell_key FROM {target}),
+        (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS day)
+    WHERE (cell_key, day) NOT IN (SELECT (cell_key, date) FROM {_left}) GROUP BY cell_key"""
+ORACLE["index_differences"] = f"SELECT count(*) AS days, CAST(0 AS BIGINT) AS differ FROM {_left}"
+
 _BOUNDS = {
     "daily_rain": (0, 1300),
     "max_temp": (-9, 54),

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from daygrid.contracts import create_table, null_counts
 from daygrid.functions.geo import Grid, great_circle_km
 from daygrid.operators import checks, gaps, mapping, outcomes
-from daygrid.operators.upsert import PartitionBy, upsert, upsert_table
+from daygrid.operators.day_index import DayIndex
+from daygrid.operators.layout import PartitionBy
+from daygrid.operators.upsert import replace_partitions, upsert, upsert_table
 from daygrid.plans import load_job, quality
 from daygrid.plans.mapping_job import build_mapping_table
 from daygrid.session import new_work_folder
@@ -29,7 +31,7 @@ QUERIES: dict[str, Query] = {}
 
 RUN_DATE = date(2024, 1, 30)
 REFRESH_DAYS = 10
-LAST_DAY = date(2001, 12, 31)
+FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2001, 12, 31)
 FIRST_RUN, SECOND_RUN, THIRD_RUN = "2024-02-01 00:00:00", "2024-03-01 00:00:00", "2024-03-02 00:00:00"
 NEAR_KM = 3.0
 COARSE = Grid(resolution=2.0)
@@ -52,6 +54,10 @@ def _at(text: str) -> Column:
     return F.lit(text).cast("timestamp")
 
 
+def _by_year() -> dict[str, Column]:
+    return {"year": F.date_format("date", "yyyy")}
+
+
 def _places(spark: SparkSession, folder: str) -> DataFrame:
     return type_places(for_spark(spark, folder, "places_text"))
 
@@ -322,6 +328,72 @@ def backfill_summary(spark, folder):
     return gaps.backfill_summary(_fetch_ranges(spark, folder))
 
 
+@query
+def gap_intervals(spark, folder):
+    """Every run of missing days of the parts, from its first to its last day."""
+    parts, rows = for_spark(spark, folder, "part_mapping"), for_spark(spark, folder, "observations")
+    return gaps.gap_intervals(gaps.missing_blocks(gaps.key_ranges(parts, LAST_DAY), rows))
+
+
+# --- gaps from the stored index of days --------------------------------------------------------------------------------
+
+
+def _indexed_days(spark: SparkSession, folder: str) -> DayIndex:
+    """The stored days loaded into a table in two overlapping deliveries; the index sees the deliveries alone."""
+    days = for_spark(spark, folder, "stored_days").distinct()
+    layout, name = PartitionBy.month(), uuid.uuid4().hex
+    index = DayIndex(f"days_{name}", layout)
+    create_table(spark, f"rows_{name}", days.schema, partition_by=layout.schema, location=new_work_folder(spark, "table"))
+    index.create(spark, new_work_folder(spark, "table"))
+    for part in (days.where(F.col("date") < date(2024, 1, 21)), days.where(F.col("date") >= date(2024, 1, 11))):
+        upsert_table(spark, part, f"rows_{name}", partition_by=layout, index=index)
+    return index
+
+
+@query
+def first_missing_date_indexed(spark, folder):
+    cells = for_spark(spark, folder, "cells")
+    return _indexed_days(spark, folder).first_missing_date(_cell_ranges(cells))
+
+
+@query
+def fetch_ranges_indexed(spark, folder):
+    cells = for_spark(spark, folder, "cells")
+    return _indexed_days(spark, folder).fetch_ranges(cells, RUN_DATE, REFRESH_DAYS)
+
+
+def _rewritten(spark: SparkSession, folder: str) -> tuple[DayIndex, DataFrame]:
+    """Two upserts, then a year rewritten without its every seventh day and one without any rows; the index and the table."""
+    target, source = for_spark(spark, folder, "upsert_target"), for_spark(spark, folder, "upsert_source")
+    layout, name = PartitionBy(_by_year()), uuid.uuid4().hex
+    index, table = DayIndex(f"days_{name}", layout), f"rows_{name}"
+    create_table(spark, table, target.schema, partition_by=layout.schema, location=new_work_folder(spark, "table"))
+    index.create(spark, new_work_folder(spark, "table"))
+    upsert_table(spark, target, table, run_ts=_at(FIRST_RUN), partition_by=layout, index=index)
+    upsert_table(spark, source, table, run_ts=_at(SECOND_RUN), partition_by=layout, index=index)
+    kept = F.pmod(F.datediff("date", F.lit(date(1998, 1, 1))), F.lit(7)) != 3
+    left = spark.table(table).where(F.col("year") == "1998").where(kept).drop("year")
+    replace_partitions(spark, left, table, also=[("1996",)], partition_by=layout, index=index)
+    return index, spark.table(table)
+
+
+@query
+def gap_report_indexed(spark, folder):
+    index, table = _rewritten(spark, folder)
+    suppliers = for_spark(spark, folder, "upsert_target").select("cell_key").distinct()
+    ranges = suppliers.select("cell_key", F.lit(FIRST_DAY).alias("start_date"), F.lit(LAST_DAY).alias("end_date"))
+    return index.gap_report(ranges)
+
+
+@query
+def index_differences(spark, folder):
+    """Days of the rewritten table in its index and in a scan: how many masks there are, and how many differ."""
+    index, table = _rewritten(spark, folder)
+    masks = index.masks(spark).groupBy("cell_key", "block").agg(F.expr("bit_or(present)").alias("present"))
+    days = masks.agg(F.sum(F.expr("bit_count(present)")).alias("days"))
+    return days.select("days", F.lit(index.differences(table).count()).cast("long").alias("differ"))
+
+
 # --- upsert --------------------------------------------------------------------------------------------------------
 
 
@@ -340,12 +412,12 @@ def obs_upsert_rerun(spark, folder):
 
 @query
 def obs_upsert_table(spark, folder):
-    """The same upsert through a stored table partitioned by year: two loads, then the table."""
+    """The same upsert through a stored table by year, clustered by the key: two loads, then the table."""
     target, source = for_spark(spark, folder, "upsert_target"), for_spark(spark, folder, "upsert_source")
-    by_year = PartitionBy({"year": F.date_format("date", "yyyy")})
+    by_year = PartitionBy.clustered(8, _by_year())
     table = f"upserted_{uuid.uuid4().hex}"
     location = new_work_folder(spark, "table")
-    create_table(spark, table, target.schema, partition_by=by_year.schema, location=location)
+    create_table(spark, table, target.schema, partition_by=by_year.schema, location=location, clustering=by_year.clustering)
     upsert_table(spark, target, table, run_ts=_at(FIRST_RUN), partition_by=by_year)
     upsert_table(spark, source, table, run_ts=_at(SECOND_RUN), partition_by=by_year)
     return spark.table(table).drop("year")
