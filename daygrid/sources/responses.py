@@ -7,6 +7,10 @@ Every response names its own columns, in its own order. Two readers give the sam
 * ``split_files`` for landed files too large to hold in one row. Files are read line by line and split over tasks like
   any text; only the per-file header is joined back, and Spark may split a large file's side of that join.
 
+A quoted field may hold line breaks, so a record may span lines. Quotes pair up across lines: a line belongs to the record
+before it if an odd number of quotes precedes it. Comment lines are dropped first, wherever they are, and their quotes do
+not count; a response whose quotes do not pair up is refused.
+
 Both yield *records*: the location's columns, ``positions`` (where each wanted column is), ``absent`` (wanted columns
 the response lacks), ``fields`` (the line's values) and ``problem``. A response with a problem yields exactly one record
 and no values.
@@ -16,14 +20,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from daygrid import fixed_values as fixed
 from daygrid.contracts import require_columns
 from daygrid.functions.text import csv_fields, has_open_quote, lenient_double, missing_to_null, sql_list, text_array
-from daygrid.session import empty_files
+from daygrid.session import empty_files, new_work_folder
 
 # Largest landed file that is read as one row. Larger files are read line by line.
 WHOLE_FILE_BYTES = 32 * 1024 * 1024
@@ -32,18 +36,28 @@ NO_CONTENT = "no content"
 NO_HEADER = "required headers absent"
 LONG_LINE = "a line has more fields than the header"
 OPEN_QUOTE = "a line has an unpaired quote"
+LONG_RECORD = "a quoted field spans too many lines"
 UNKNOWN_COLUMN = "unknown column(s): "
 
 # Columns of a response that are not stored and not complained about.
 IGNORED = ("metadata",)
 
+# Lines of one record in a file read by lines: a record is put together in one task, so its length has a bound. Two
+# stray quotes far apart in a file would otherwise make most of it one field.
+RECORD_LINES = 10_000
+
+# Stands for a line break inside a quoted field while a body is cut into records.
+_BREAK = "\x00"
+
 _RECORD = ("positions", "absent", "fields", "problem")
 
 
+def _lines(body: Column) -> Column:
+    return F.split(F.replace(F.replace(body, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")), "\n")
+
 
 def _content_lines(body: Column) -> Column:
-    one_ending = F.replace(F.replace(body, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    return F.filter(F.split(one_ending, "\n"), _is_content)
+    return F.filter(_lines(body), _is_content)
 
 
 def _is_content(line: Column) -> Column:
@@ -51,6 +65,22 @@ def _is_content(line: Column) -> Column:
     return ~line.rlike(r"^\s*(#|$)")
 
 
+def _is_comment(line: Column) -> Column:
+    return line.rlike(r"^\s*#")
+
+
+def _records_of(body: Column) -> Column:
+    """The content of a body in records: lines, joined by ``_BREAK`` where a quoted field goes on.
+
+    Every second part between quotes is inside a field. Cutting at the quotes takes one pass, whatever the number of lines.
+    """
+    text = F.array_join(F.filter(_lines(body), lambda line: ~_is_comment(line)), "\n")
+    inside = F.transform(
+        F.split(text, '"', -1), lambda part, i: F.when(i % 2 == 1, F.replace(part, F.lit("\n"), F.lit(_BREAK))).otherwise(part)
+    )
+    return F.filter(F.split(F.array_join(inside, '"'), "\n"), _is_content)
+
+
 def _header_names(header_line: Column) -> Column:
     return F.transform(csv_fields(header_line), lambda name: F.trim(name))
 
@@ -93,15 +123,22 @@ def split_bodies(
     """One record per data line of each good response; one valueless record per bad response."""
     keep = [name for name in bodies.columns if name != body]
     content = bodies.select(
-        *keep, _content_lines(F.col(body)).alias("content"), F.contains(body, F.lit('"')).alias("quoted")
+        *keep, F.col(body).alias("_body"), _content_lines(F.col(body)).alias("_content"), F.contains(body, F.lit('"')).alias("quoted")
     )
+    # Most bodies have no field that spans lines, and their lines are their records.
+    spans = F.col("quoted") & F.exists("_content", has_open_quote)
+    content = content.withColumn("spans", F.coalesce(spans, F.lit(False)))
+    content = content.withColumn("content", F.when(F.col("spans"), _records_of(F.col("_body"))).otherwise(F.col("_content")))
     headed = content.withColumn("header_line", F.get("content", F.lit(0)))
+    fields = F.transform(F.slice("content", F.lit(2), F.greatest(F.size("content"), F.lit(1))), csv_fields)
+    whole = F.transform(fields, lambda line: F.transform(line, lambda field: F.replace(field, F.lit(_BREAK), F.lit("\n"))))
     parsed = headed.select(
         *keep,
-        _header_names(F.col("header_line")).alias("names"),
+        _header_names(F.replace("header_line", F.lit(_BREAK), F.lit("\n"))).alias("names"),
         _header_problem(F.col("header_line"), required).alias("header_problem"),
-        (F.col("quoted") & F.exists("content", has_open_quote)).alias("open_quote"),
-        F.transform(F.slice("content", F.lit(2), F.greatest(F.size("content"), F.lit(1))), csv_fields).alias("lines"),
+        # Quotes pair up within every record but the last.
+        (F.col("spans") & has_open_quote(F.get("content", F.size("content") - 1))).alias("open_quote"),
+        F.when(F.col("spans"), whole).otherwise(fields).alias("lines"),
     )
     judged = parsed.select(
         *keep,
@@ -141,10 +178,13 @@ def split_files(
 ) -> DataFrame:
     """Records of landed files above a size, read line by line.
 
-    A file's header is its first content line: the smallest (block start, line number within the task). The header
+    A file's header is its first record: the smallest (block start, line number within the task). The header
     table has one row per file and is made with map-side aggregation, so a file holding a third of all lines costs no
     more than its scan. Joining it back is left to the optimizer: it broadcasts only under its own size threshold, and
     otherwise may split the side of a large file over several tasks.
+
+    Whether a field of a file spans lines is known from the same aggregate, which is stored. Only the lines of files that
+    have such fields are put in order and joined to records.
     """
     lines = (
         _landed_text(spark, path, key, whole=False)
@@ -158,21 +198,43 @@ def split_files(
             F.regexp_replace("value", r"\r$", "").alias("line"),
         )
     )
+    own = (key, wanted, required, ignored)
+    heads = _stored(_heads(lines, *own), "heads")
+    simple = _file_records(lines, heads.where(~F.col("open_quote")), key)
+    if heads.where("open_quote").limit(1).count() == 0:
+        return simple
+    spanning = heads.where("open_quote").select("landed")
+    kept = _stored(lines.where(~_is_comment(F.col("line"))).join(spanning, "landed", "left_semi"), "lines")
+    joined, too_long = spanning_records(kept, [key, "landed"])
+    joined = _stored(joined, "records")
+    heads = _heads(joined, *own).join(too_long.select("landed", F.lit(LONG_RECORD).alias("long")), "landed", "left")
+    heads = heads.withColumn("problem", F.coalesce("long", "problem")).drop("long")
+    return simple.unionByName(_file_records(joined, _stored(heads, "heads"), key))
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = new_work_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _heads(lines: DataFrame, key: str, wanted: Sequence[str], required: Sequence[str], ignored: Sequence[str]) -> DataFrame:
+    """One row per file: its header, its layout, its problem, and whether some line of it leaves a quote open."""
     content_place = F.when(_is_content(F.col("line")), F.col("place"))
-    heads = (
+    return (
         lines.groupBy(key, "landed")
         .agg(
             F.min_by("line", content_place).alias("header_line"),
             F.min(content_place).alias("header_place"),
             F.max(F.when(content_place.isNotNull(), F.size(csv_fields(F.col("line"))))).alias("widest"),
-            F.bool_or(content_place.isNotNull() & has_open_quote(F.col("line"))).alias("open_quote"),
+            F.coalesce(F.bool_or(content_place.isNotNull() & has_open_quote(F.col("line"))), F.lit(False)).alias("open_quote"),
         )
         .withColumn("names", _header_names(F.col("header_line")))
         .select(
             key,
             "landed",
-            "header_line",
             "header_place",
+            "open_quote",
             *_layout(F.col("names"), wanted),
             F.coalesce(
                 _header_problem(F.col("header_line"), required),
@@ -182,7 +244,10 @@ def split_files(
             ).alias("problem"),
         )
     )
-    good_heads = heads.where(F.col("problem").isNull()).drop(key)
+
+
+def _file_records(lines: DataFrame, heads: DataFrame, key: str) -> DataFrame:
+    good_heads = heads.where(F.col("problem").isNull()).drop(key, "open_quote")
     records = (
         lines.where(_is_content(F.col("line")))
         .join(good_heads, "landed")
@@ -195,6 +260,40 @@ def split_files(
     return records.unionByName(bad)
 
 
+def spanning_records(lines: DataFrame, of: Sequence[str], longest: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Lines (``of``, place, line) joined to records (``of``, place of the first line, line), and ``of`` with a longer one.
+
+    A prefix scan of quote parity in two steps. Each block of a file says how many of its lines leave a quote open; the
+    sums over a file's blocks, one row each, tell every block whether it begins inside a field. Then each block is scanned
+    by itself. Records are numbered the same way, so one that crosses from block to block keeps its number. Nothing but a
+    block, or one record of at most ``longest`` lines, is in one task. A file whose quotes do not pair up ends in a record
+    with an open quote.
+    """
+    of = list(of)
+    by_block = Window.partitionBy(*of, "block").orderBy("place")
+    flagged = lines.withColumn("block", F.col("place.block")).withColumn("odd", has_open_quote(F.col("line")).cast("long"))
+    parity = flagged.groupBy(*of, "block").agg(F.sum("odd").alias("odds"))
+    blocks_before = Window.partitionBy(*of).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    parity = parity.select(*of, "block", F.coalesce(F.sum("odds").over(blocks_before), F.lit(0)).alias("carried"))
+    scanned = flagged.join(parity, [*of, "block"])
+    before = F.col("carried") + F.sum("odd").over(by_block) - F.col("odd")
+    scanned = scanned.withColumn("starts", (before % 2 == 0).cast("long")).drop("carried")
+    starts = scanned.groupBy(*of, "block").agg(F.sum("starts").alias("n"))
+    starts = starts.select(*of, "block", F.coalesce(F.sum("n").over(blocks_before), F.lit(0)).alias("carried"))
+    numbered = scanned.join(starts, [*of, "block"]).withColumn("record", F.col("carried") + F.sum("starts").over(by_block))
+
+    alone = (F.col("starts") == 1) & (F.col("odd") == 0)
+    single = numbered.where(alone).select(*of, "place", "line")
+    several = numbered.where(~alone).select(*of, "record", "place", "line")
+    sizes = several.groupBy(*of, "record").agg(F.count(F.lit(1)).alias("n"))
+    too_long = sizes.where(F.col("n") > (longest or RECORD_LINES)).select(*of).distinct()
+    ordered = F.sort_array(F.collect_list(F.struct("place", "line")))
+    joined = several.join(too_long, of, "left_anti").groupBy(*of, "record").agg(ordered.alias("parts"))
+    text = F.array_join(F.transform("parts", lambda part: part["line"]), "\n")
+    joined = joined.select(*of, F.get("parts", F.lit(0))["place"].alias("place"), text.alias("line"))
+    return single.unionAll(joined), too_long
+
+
 def landed_files(spark: SparkSession, path: str, key: str = "cell_key") -> DataFrame:
     """``key, landed, bytes`` of every landed file, empty ones too. Only the listing is read."""
     files = spark.read.format("binaryFile").load(path).select("path", "modificationTime", "length")

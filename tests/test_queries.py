@@ -18,6 +18,8 @@ WRITERS = {
     "mapping_table",
     "landed_files",
     "landed_files_by_line",
+    "landed_line_breaks",
+    "landed_line_breaks_by_line",
     "obs_upsert_table",
     "backfill_by_bucket",
     "first_missing_date_indexed",

@@ -116,6 +116,11 @@ ORACLE["landed_files"] = f"""SELECT event_type AS cell_key, CAST(NULL AS VARCHAR
     rain AS daily_rain, warm AS max_temp, CASE WHEN NOT spoilt THEN cold END AS min_temp,
     CAST(event_id AS VARCHAR) AS vp, '8' AS radiation FROM {response_parts}"""
 ORACLE["landed_files_by_line"] = ORACLE["landed_files"]
+ORACLE["landed_line_breaks"] = f"""SELECT event_type AS cell_key, CAST(NULL AS VARCHAR) AS problem, {_PLACE}, day_1 AS date,
+    CASE WHEN event_id % 3 = 0 THEN 'so "noted",' || chr(10) || 'and # again ' || CAST(event_id AS VARCHAR) || chr(10) || chr(10) || 'end'
+         ELSE rain END AS daily_rain,
+    warm AS max_temp, cold AS min_temp, CAST(event_id AS VARCHAR) AS vp, '8' AS radiation FROM {response_parts}"""
+ORACLE["landed_line_breaks_by_line"] = ORACLE["landed_line_breaks"]
 
 # --- gaps: the plain definition, a row per key and day ---------------------------------------------------------------
 missing = f"""(SELECT cell_key, date FROM (

@@ -261,6 +261,41 @@ def landed_files_by_line(spark, folder):
     return _landed(spark, folder, 0)
 
 
+def _landed_notes(spark: SparkSession, folder: str, whole_file_bytes: int) -> DataFrame:
+    """Events landed as CSV files per type; every third has a field of two lines, with quotes and a comma in it."""
+    path = new_work_folder(spark, "landed")
+    parts = for_spark(spark, folder, "response_parts")
+    note = F.concat(F.lit('so "noted",\nand # again '), F.col("event_id").cast("string"), F.lit("\n\nend"))
+    rows = parts.select(
+        F.col("event_type").alias("cell_key"),
+        F.col("lat_text").alias("latitude"),
+        F.col("lon_text").alias("longitude"),
+        F.col("day_1").alias("YYYY-MM-DD"),
+        F.when(F.col("event_id") % 3 == 0, note).otherwise(F.col("rain")).alias("daily_rain"),
+        F.col("warm").alias("max_temp"),
+        F.col("cold").alias("min_temp"),
+        F.col("event_id").cast("string").alias("vp"),
+        F.lit("8").alias("radiation"),
+        F.when(F.col("event_id") % 5 == 0, F.lit('"\n')).alias("metadata"),
+    )
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+    rows.write.options(**options).partitionBy("cell_key").csv(path)
+    wanted = [name for name in BODY_COLUMNS if name != "daily_rain_source"]
+    records = responses.read_landed(spark, path, wanted, whole_file_bytes=whole_file_bytes)
+    return responses.normalise(records, wanted).drop("absent", "landed")
+
+
+@query
+def landed_line_breaks(spark, folder):
+    return _landed_notes(spark, folder, responses.WHOLE_FILE_BYTES)
+
+
+@query
+def landed_line_breaks_by_line(spark, folder):
+    """The same for files too large for one row: records are put together across lines and blocks of a file."""
+    return _landed_notes(spark, folder, 0)
+
+
 # --- gaps and fetch planning -----------------------------------------------------------------------------------------
 
 
