@@ -6,11 +6,13 @@ mixing, tokenizers and the networks have no SQL form.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from daygrid.llm import quality, secrets
 from daygrid.llm.common import UPPER
 
 
-def _listed(words: list[str]) -> str:
+def _listed(words: Sequence[str]) -> str:
     return ", ".join("'" + word.replace("'", "''") + "'" for word in words)
 
 
@@ -20,18 +22,22 @@ _DOCS = "SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FRO
 
 def _broken(rule: quality.Rule) -> str:
     bounds = [f"{rule.measure} {sign} {bound}" for sign, bound in (("<", rule.low), (">", rule.high)) if bound is not None]
-    return f"(n_words >= {rule.words} AND n_lines >= {rule.lines} AND ({' OR '.join(bounds)}))"
+    speaks = f"n_words >= {rule.words} AND n_lines >= {rule.lines}" + (" AND NOT other_language" if rule.stops else "")
+    return f"({speaks} AND ({' OR '.join(bounds)}))"
 
 
 _QUALITY = f"""
-WITH d AS ({_DOCS}),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+    lower(regexp_extract(coalesce(lang, ''), '^\\s*([A-Za-z]{{2,3}})([^A-Za-z]|$)', 1)) AS said FROM documents),
 s AS (SELECT *, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
 g AS (SELECT rid, i, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM s)),
 r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM g) WHERE c > 1),
 n AS (SELECT rid, sum(least(5, coalesce(later - i, 5)))::BIGINT AS n_repeat_words
     FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS later FROM r) GROUP BY rid),
-m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+m AS (SELECT doc_id, length(regexp_replace(t, '[\\P{{L}}\\p{{Latin}}]+', '', 'g')) > length(regexp_replace(t, '[^\\p{{Latin}}]+', '', 'g'))
+        OR (said <> '' AND said NOT IN ({_listed(quality.LANGUAGES)})) AS other_language,
+    len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
     (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
     (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(ls) AS n_lines,
     list_filter(ws, lambda x: x IN ({_STOPS})) AS stops,

@@ -162,5 +162,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reject(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that break no rule."""
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text"))
+    # The language goes along: its rule speaks here as it does in the query.
+    said = [F.col(LANG)] if LANG in docs.columns else []
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text"), *said)
     return judge(inner, keep=("doc",)).where("kept").select("doc.*")
