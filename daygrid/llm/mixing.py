@@ -14,12 +14,14 @@ Targets: sources by code point, a null source last, weigh 5, 2, 1, 5, ... and sh
 at twice the source's words, and the excess goes to the others by weight until none is above. They are computed exactly.
 
 Nulls and edge cases: a null or blank text has size 0 and is taken 0 words; a null source is a source; a source without
-words has target 0. Rows equal in doc_id and text have the same hash and are treated alike, so a large group of them is
-taken or left as one. Other columns are not looked at; an empty table gives an empty result.
+words has target 0. Rows equal in doc_id and text have the same hash and stand at one place of the order; where a cut falls on
+such a place, as many of its rows are taken as bring the source nearest to its target. Other columns are not looked at; an empty table
+gives an empty result. The pipeline's column ``copy`` takes another name where the documents have it, in any case.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from decimal import Decimal
 
@@ -151,7 +153,7 @@ def _parts() -> tuple[Column, Column]:
 
 
 def cuts(rows: DataFrame, state: DataFrame) -> DataFrame:
-    """Adds cut to ``state``: fractions at places below it are taken. ``rows`` is (_s, _size, _u)."""
+    """Adds cut, some and rows to ``state``: fractions at places below cut are taken, and ``some`` of the ``rows`` at it."""
     whole, place = _parts()
     rated = rows.join(small_enough(state), "_s").select("_s", "_size", whole.alias("whole"), place.alias("place"))
     rated = staged(rated, "rated")
@@ -176,20 +178,42 @@ def cuts(rows: DataFrame, state: DataFrame) -> DataFrame:
         below = F.coalesce(F.col("first.below"), F.col("below"))
         found = at.select("_s", "wanted", below.alias("below"), F.coalesce("first.bin", last).alias("prefix"), "first.in_bin")
         search = staged(found, "search")
-    # Whether the bin itself is taken: whichever comes closer.
-    with_it = F.abs(F.col("below") + F.col("in_bin") - F.col("wanted")) < F.abs(F.col("below") - F.col("wanted"))
-    cut = F.when(F.col("in_bin").isNull() | with_it, F.col("prefix") + 1).otherwise(F.col("prefix"))
-    return state.join(search.select("_s", cut.alias("cut")), "_s", "left")
-
-
-def copies() -> Column:
-    """How often a row is taken, from its columns and those of its source."""
+    # The bin itself is split by rows: as many as come closest. All rows of a repeated document are at one place.
+    edge = rated.join(small_enough(search.select("_s", F.col("prefix").alias("place"))), ["_s", "place"])
+    edge = edge.groupBy("_s").agg(F.count("*").alias("rows"))
+    split = search.join(edge, "_s", "left").withColumn("each", F.col("in_bin") / F.col("rows"))
+    some = F.round((F.col("wanted") - F.col("below")) / F.col("each"))
+    some = F.greatest(F.least(some, F.col("rows")), F.lit(0)).cast("long")
+    cut = F.when(F.col("in_bin").isNull(), F.col("prefix") + 1).otherwise(F.col("prefix"))
+    return state.join(split.select("_s", cut.alias("cut"), F.coalesce(some, F.lit(0)).alias("some"), F.col("rows")), "_s", "left")
+
+
+def copied(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their source and _n, how often each is taken.
+
+    Rows at their source's cut are numbered, in two steps: within the task that read them, and by task. So a document whose
+    copies are a third of all rows is not one group.
+    """
     whole, place = _parts()
-    return F.when(F.col("_size") > 0, whole + F.when(place < F.col("cut"), 1).otherwise(0)).otherwise(0).cast("int")
+    found = rows.join(small_enough(state), "_s").withColumn("_place", place)
+    taken = whole + F.when(F.col("_place") < F.col("cut"), 1).otherwise(0)
+    at_edge = F.coalesce((F.col("_size") > 0) & (F.col("_place") == F.col("cut")), F.lit(False))
+    # All or nothing needs no numbers.
+    numbered = at_edge & (F.col("some") > 0) & (F.col("some") < F.col("rows"))
+    taken = taken + F.when(at_edge & (F.col("some") == F.col("rows")), 1).otherwise(0)
+    plain = found.where(~numbered).withColumn("_n", F.when(F.col("_size") > 0, taken).otherwise(0).cast("int"))
+    edge = staged(found.where(numbered).withColumn("_task", F.spark_partition_id()), "edge")
+    before = Window.partitionBy("_s").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = edge.groupBy("_s", "_task").agg(F.count("*").alias("n"))
+    tasks = tasks.select("_s", "_task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.row_number().over(Window.partitionBy("_s", "_task").orderBy("_size"))
+    edge = edge.join(tasks, ["_s", "_task"]).withColumn("_number", number)
+    edge = edge.withColumn("_n", (taken + F.when(F.col("_number") <= F.col("some"), 1).otherwise(0)).cast("int"))
+    return plain.select(*plain.columns).unionByName(edge.select(*plain.columns))
 
 
 def balance(rows: DataFrame) -> DataFrame:
-    """The sources of ``rows`` (_s, _size, _u), with source_size, target and all that ``copies`` needs."""
+    """The sources of ``rows`` (_s, _size, _u), with source_size, target and all that ``copied`` needs."""
     rows = staged(rows.select("_s", "_size", "_u"), "sized")
     sizes = staged(rows.groupBy("_s", "_size").agg(F.count("*").alias("n")), "sizes")
     sources = targets(sizes.groupBy("_s").agg(F.sum(F.col("_size") * F.col("n")).alias("source_size")))
@@ -198,8 +222,8 @@ def balance(rows: DataFrame) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = staged(sized(table(spark, sf_dir, "documents"), ("doc_id",)), "sized")
-    found = rows.join(small_enough(balance(rows)), "_s")
-    return found.select("doc_id", F.col("_size").alias("size"), "source_size", "target", (copies() * F.col("_size")).alias("taken"))
+    found = copied(rows, balance(rows))
+    return found.select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_n") * F.col("_size")).alias("taken"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -207,8 +231,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     inner = docs.select(row.alias("doc"), F.col("text").alias("_text"), F.col("source").alias("_source"), F.col("doc_id").alias("_id"))
     rows = sized(inner, ("doc",), "_text", "_source", "_id")
-    found = rows.join(small_enough(balance(rows)), "_s").withColumn("_n", copies())
+    found = copied(rows, balance(rows))
     numbers = F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array().cast("array<int>"))
     each = found.select("doc", F.explode_outer(numbers).alias("_copy")).where("_copy IS NOT NULL")
-    copy = F.col("_copy").alias("copy" if "copy" not in docs.columns else "mix_copy")
-    return each.select("doc.*", copy)
+    held = {c.lower() for c in docs.columns}
+    names = itertools.chain(("copy", "mix_copy"), (f"mix_copy_{k}" for k in itertools.count(2)))
+    return each.select("doc.*", F.col("_copy").alias(next(name for name in names if name not in held)))
