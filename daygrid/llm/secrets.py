@@ -18,7 +18,7 @@ hold the control characters that mark matches here: they are replaced by another
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +54,8 @@ MORE = (
 )
 RULES = BASE + MORE
 _MARK, _SPLIT, _OTHER = "\x01", "\x02", "\x03"
+#: Values that ``running`` scans at a time.
+BLOCK = 512
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -73,8 +75,9 @@ def candidates(index: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         for number, alternative in enumerate(sorted(map(sorted, query(rule.pattern) or ())))
         for trigram in alternative
     ]
-    spark = index.sparkSession
-    asked = spark.createDataFrame(terms, "rule int, alternative int, need int, trigram string")
+    names = ("rule", "alternative", "need", "trigram")
+    rows = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, term)]) for term in terms]
+    asked = index.sparkSession.range(1).select(F.inline(F.array(*rows)))
     return (
         index.join(F.broadcast(asked), "trigram")  # as many rows as the rules have trigrams
         .groupBy("key", "rule", "alternative", "need")
@@ -85,26 +88,58 @@ def candidates(index: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For every value (a long) of an array what ``join`` makes, from 0, of the values before it.
+
+    Growing an array one by one costs its square. Blocks of ``BLOCK`` values are scanned by themselves and then by their totals.
+    """
+    empty = F.array().cast("array<bigint>")
+
+    def scanned(some: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
+        return F.aggregate(
+            some, start, lambda s, v: F.struct(join(s["at"], v).alias("at"), F.array_append(s["out"], s["at"]).alias("out"))
+        )
+
+    def of(values: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / BLOCK) - 1, F.lit(0)))
+        blocks = F.transform(starts, lambda k: scanned(F.slice(values, (k * BLOCK + 1).cast("int"), F.lit(BLOCK))))
+        return _let(blocks, whole)
+
+    def whole(blocks: Column) -> Column:
+        carried = scanned(F.transform(blocks, lambda b: b["at"]))["out"]
+        return F.flatten(F.zip_with(blocks, carried, lambda b, c: F.transform(b["out"], lambda v: join(c, v))))
+
+    return _let(values, of)
+
+
 def _spans(rule: Rule, place: int) -> Column:
     """All kept matches of the rule in the column _text."""
     marked = F.regexp_replace("_text", rule.pattern, f"{_MARK}$0{_SPLIT}${rule.group}{_MARK}")
-    parts = F.split(marked, _MARK)
-    between = F.filter(parts, lambda _, i: i % 2 == 0)
-    found = F.filter(parts, lambda _, i: i % 2 == 1)
-
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["before"])
-        end = begin + F.length(F.substring_index(pair["match"], _SPLIT, 1))
-        group = F.substring_index(pair["match"], _SPLIT, -1)
-        span = F.array(F.struct(begin.alias("start"), F.lit(place).alias("kind"), end.alias("end")))
-        out = F.when(F.length(group) >= rule.least, F.concat(state["out"], span)).otherwise(state["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
-
-    pairs = F.zip_with(
-        F.slice(between, F.lit(1), F.size(found)), found, lambda a, b: F.struct(a.alias("before"), b.alias("match"))
+    # Every second part is a match, followed by its group.
+    parts = F.transform(
+        F.split(marked, _MARK),
+        lambda part, i: F.struct(
+            F.when(i % 2 == 1, F.length(F.substring_index(part, _SPLIT, 1))).otherwise(F.length(part)).cast("long").alias("n"),
+            ((i % 2 == 1) & (F.length(F.substring_index(part, _SPLIT, -1)) >= rule.least)).alias("kept"),
+        ),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
-    return F.aggregate(pairs, start, step, lambda state: state["out"])
+
+    def spans(parts: Column) -> Column:
+        begins = running(F.transform(parts, lambda p: p["n"]), lambda a, b: a + b)
+        placed = F.zip_with(
+            parts,
+            begins,
+            lambda p, at: F.struct(p["kept"].alias("kept"), at.cast("int").alias("start"), F.lit(place).alias("kind"), (at + p["n"]).cast("int").alias("end")),
+        )
+        return F.transform(F.filter(placed, lambda s: s["kept"]), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+
+    return _let(parts, spans)
 
 
 def scan(docs: DataFrame, text: str = "text", keep: Sequence[str] = (), rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -151,17 +186,26 @@ def blank(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     found = computed(scan(docs.select(row, F.col("text")), keep=("doc",)))
 
-    def step(state: Column, span: Column) -> Column:
-        # Spans of different rules may overlap: a span that begins within the last one only makes it longer.
-        before = F.substring(F.col("doc.text"), state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        joint = (span["start"] < state["at"]) | ((span["start"] == state["at"]) & (state["at"] > 0))
-        out = F.when(joint, state["out"]).otherwise(F.concat(state["out"], before, F.lit("[secret]")))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = F.substring(F.col("doc.text"), F.col("_done")["at"] + 1, F.length("doc.text"))
-    clean = F.when(F.size("spans") == 0, F.col("doc.text")).otherwise(F.concat(F.col("_done")["out"], rest))
-    out = found.withColumn("_done", F.aggregate("spans", start, step)).select("doc", clean.alias("_clean"))
+    reach = running(F.transform("spans", lambda s: s["end"].cast("long")), F.greatest)
+    found = computed(found.select("doc", "spans", reach.alias("_reach")))
+    # Spans of different rules may overlap: one that begins within those before it only makes them longer.
+    apart = F.filter(
+        F.zip_with("spans", "_reach", lambda s, at: F.struct(s["start"].cast("long").alias("start"), at.alias("at"))),
+        lambda s: (s["start"] > s["at"]) | (s["at"] == 0),
+    )
+    last = F.array_max(F.transform("spans", lambda s: s["end"].cast("long")))
+
+    def cleaned(wide: Column) -> Column:
+        """From four bytes for each code point: a piece is then found by its place, without counting from the beginning."""
+
+        def text(begin: Column, end: Column) -> Column:
+            return F.decode(F.substring(wide, (begin * 4 + 1).cast("int"), ((end - begin) * 4).cast("int")), "UTF-32")
+
+        pieces = F.transform(apart, lambda s: F.concat(text(s["at"], s["start"]), F.lit("[secret]")))
+        return F.concat(F.array_join(pieces, ""), text(last, F.length("doc.text").cast("long")))
+
+    clean = F.when(F.size("spans") == 0, F.col("doc.text")).otherwise(_let(F.encode("doc.text", "UTF-32"), cleaned))
+    out = computed(found.select("doc", clean.alias("_clean")))
     same = F.col("_clean").eqNullSafe(F.col("doc.text"))
     columns = {"text": F.col("_clean")}
     if "n_chars" in docs.columns:
