@@ -41,8 +41,13 @@ def lenient_double(text: Column) -> Column:
 
 
 def number_or_nan(text: Column) -> Column:
-    """Like ``lenient_double``, with NaN as a value of its own."""
-    return F.coalesce(lenient_double(text), F.when(text.rlike(r"^\s*[+-]?(?i:nan)\s*$"), F.lit(float("nan"))))
+    """Like ``lenient_double``, with NaN as a value of its own.
+
+    Nearly all delivered values hold nothing but digits, signs, points and exponents. A cast reads those just as the pattern
+    does, as it is only other characters (type suffixes, ``x``, spaces) on which the two differ.
+    """
+    careful = F.coalesce(lenient_double(text), F.when(text.rlike(r"^\s*[+-]?(?i:nan)\s*$"), F.lit(float("nan"))))
+    return F.when(text.rlike(r"[^0-9+\-.eE]"), careful).otherwise(text.try_cast("double"))
 
 
 def missing_to_null(text: str, tokens: Iterable[str] = fixed.NA_TOKENS) -> str:

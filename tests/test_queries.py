@@ -30,6 +30,7 @@ WRITERS = {
     "load_summary",
     "landed_load",
     "streamed_load",
+    "streamed_attempts",
 }
 
 

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from daygrid.contracts import PLACE_SCHEMA, schema_mismatches
+from daygrid.functions import text
 from daygrid.functions.text import csv_fields, has_open_quote, lenient_double, missing_to_null
 from daygrid.sources.places import read_places
 
@@ -105,3 +106,13 @@ def test_files_with_different_headers_are_refused_rather_than_mixed(spark, tmp_p
     (tmp_path / "b.csv").write_text("place_id,place_name,state,longitude,latitude\np2,Two,NSW,148.6,-32.0\n")
     with pytest.raises(Exception, match="(?i)header"):
         read_places(spark, str(tmp_path)).collect()
+
+
+def test_the_short_way_to_a_number_reads_as_the_pattern_does(spark):
+    texts = ["1", "-1.5", "+.5", "1e5", "1E-3", "1.", "5d", "5f", "0x1p3", "0X1P3", "1x5", "inf", "-Infinity", "nan", " nan ", "NaN"]
+    texts += ["", None, " 1", "1 ", "\t1", "1e400", "-", "+", "1-1", "1e", "e5", "5d5", "١5", "1_0", "--1", "1.2.3", ".", "+.", "- 1"]
+    texts += ["00012", "9" * 400, "\x015", "5\x00", "+nan", "1e+5", "1e++5", "e", "E.", "1.e5", "．5"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    nan = F.when(F.col("t").rlike(r"^\s*[+-]?(?i:nan)\s*$"), F.lit(float("nan")))
+    found = rows.select("t", text.number_or_nan(F.col("t")).alias("a"), F.coalesce(text.lenient_double(F.col("t")), nan).alias("b")).collect()
+    assert [r.t for r in found if repr(r.a) != repr(r.b)] == []

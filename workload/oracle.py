@@ -189,6 +189,9 @@ ORACLE["daily_load"] = f"""SELECT {_load_columns},
     CASE WHEN {_second} THEN '2024-03-01 00:00:00' ELSE '2024-02-01 00:00:00' END AS updated_at
 FROM {daily} WHERE {_loaded}"""
 
+ORACLE["streamed_attempts"] = f"""SELECT {_load_columns}, CAST(peak AS VARCHAR) AS daily_rain,
+    CAST(peak % 40 AS VARCHAR) || '.5' AS max_temp, '1010' AS mslp FROM {daily} WHERE {_loaded}"""
+
 ORACLE["load_summary"] = f"""
 WITH users AS (SELECT user_id, bool_or({_loaded}) AS good, count(*) AS days FROM {daily} GROUP BY user_id)
 SELECT n AS unanswered, n + (SELECT count(*) FROM users) AS locations,

@@ -23,6 +23,7 @@ from daygrid.plans.mapping_job import build_mapping_table
 from daygrid.session import new_work_folder
 from daygrid.sources import responses
 from daygrid.sources.places import read_places, type_places
+from daygrid.streaming.attempts import load_attempt_log
 from daygrid.streaming.landing import load_landing_folder
 from workload.inputs import for_spark
 
@@ -585,6 +586,19 @@ def streamed_load(spark, folder):
     return spark.table(table).select(*_LANDED_RESULT)
 
 
+@query
+def streamed_attempts(spark, folder):
+    """A log of attempts that arrives in two parts, the second and fourth attempts first: settled and loaded as they complete."""
+    path, table = new_work_folder(spark, "attempts"), f"observations_{uuid.uuid4().hex}"
+    load_job.create_observation_table(spark, table, location=new_work_folder(spark, "table"))
+    log = _attempt_log(for_spark(spark, folder, "daily_values"), "peak")
+    log = log.select(F.lit("r1").alias("run"), "cell_key", "attempt", "status", "body", _at(FIRST_RUN).alias("at"))
+    for part in (log.where("attempt % 2 = 0"), log.where("attempt % 2 = 1")):
+        part.write.mode("append").parquet(path)
+        load_attempt_log(spark, path, table, table).awaitTermination()
+    return spark.table(table).select(*_LANDED_RESULT)
+
+
 # --- checks on observations ------------------------------------------------------------------------------------------
 
 
