@@ -29,8 +29,8 @@ from daygrid.llm.common import computed, lower_ascii, neighbours, sha256_of, sma
 
 WORDS = 13
 SHINGLE = 5
-#: Places (some 150 bytes each) that may be broadcast.
-BROADCAST_PLACES = 200_000
+#: Bytes of places, windows and item ids that may be broadcast.
+BROADCAST_BYTES = 32 << 20
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _NO_WORD_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -127,17 +127,20 @@ def decontaminate(
     windows = staged(windows_of(items.select("item_id", "text"), words), "windows")
     places = staged(contained(rows.select(F.col("_text").alias("text")), windows, shingle), "places")
     ids = windows.groupBy("window").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
-    place = F.struct("start", "w", "window", "ids")
-    by_text = places.join(ids, "window").groupBy("key").agg(F.sort_array(F.collect_list(place)).alias("_places"))
-    by_text = staged(by_text.withColumnRenamed("key", "_key"), "places-by-text")
-    few = places.limit(BROADCAST_PLACES + 1).count() <= BROADCAST_PLACES
+    # The ids of a window come once for each text, however many places it has there and however many items share it.
+    by_text = places.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "w", "window"))).alias("_places"))
+    named = places.select("key", "window").distinct().join(ids, "window").groupBy("key").agg(F.collect_list(F.struct("window", "ids")).alias("_named"))
+    by_text = staged(by_text.join(named, "key").withColumnRenamed("key", "_key"), "places-by-text")
+    size = F.aggregate("_places", F.lit(64).cast("long"), lambda n, p: n + 24 + F.length(p["window"]))
+    size = F.aggregate("_named", size, lambda n, x: n + 48 + F.length(x["window"]) + F.length(F.array_join(x["ids"], "")) + 24 * F.size(x["ids"]))
+    few = by_text.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= BROADCAST_BYTES
     n_words = F.size(_split(F.col("_text"), _NO_WORD_ANY_CASE)).cast("long")
     found = rows.withColumn("_key", _text_key(F.col("_text"))).join(F.broadcast(by_text) if few else by_text, "_key", "left")
     lowered = F.when(F.col("_places").isNotNull(), _split(lower_ascii(F.col("_text")), _NO_WORD))
-    found = found.select(*keep, n_words.alias("n_words"), "_places", lowered.alias("_words"))
+    found = found.select(*keep, n_words.alias("n_words"), "_places", "_named", lowered.alias("_words"))
     # Up to here shingles were compared by hash; now the words themselves are.
     spelled = F.filter("_places", lambda p: F.array_join(F.slice("_words", p["start"] + 1, p["w"]), " ") == p["window"])
-    found = found.select(*keep, "n_words", spelled.alias("_places"))
+    found = found.select(*keep, "n_words", spelled.alias("_places"), "_named")
 
     def step(state: Column, p: Column) -> Column:
         end = p["start"] + p["w"]
@@ -146,7 +149,11 @@ def decontaminate(
 
     none = F.struct(F.lit(0).alias("to"), F.lit(0).alias("hit"))
     n_hit = F.aggregate("_places", none, step, lambda state: state["hit"])
-    item_ids = F.sort_array(F.array_distinct(F.flatten(F.transform("_places", lambda p: p["ids"]))))
+    # Only where words differed from what their hashes said are the windows looked up one by one.
+    all_there = F.size(F.array_distinct(F.transform("_places", lambda p: p["window"]))) == F.size("_named")
+    some = F.filter("_named", lambda x: F.exists("_places", lambda p: p["window"] == x["window"]))
+    there = F.when(all_there, F.col("_named")).otherwise(some)
+    item_ids = F.sort_array(F.array_distinct(F.flatten(F.transform(there, lambda x: x["ids"]))))
     found = found.select(
         *keep,
         "n_words",

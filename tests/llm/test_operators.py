@@ -96,12 +96,20 @@ def test_decontamination(docs, none, items):
 
 
 def test_decontamination_without_broadcasts(docs, items, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_PLACES", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
     monkeypatch.setattr(decontaminate, "small_enough", lambda frame: frame)
     found = decontaminate.decontaminate(docs, items, keep=("doc_id", "text"))
     assert by_text(found, "n_hit") == sorted(((r[0], r[1], brute.hits(r[1], ITEMS)[1]) for r in rows()), key=repr)
 
 
+def test_decontamination_with_many_equal_items(spark):
+    passage = prose(99, 30)
+    docs = spark.createDataFrame([(1, f"{passage} x " * 40), (2, prose(7, 50))], "doc_id long, text string")
+    items = spark.range(20_000).selectExpr("id AS item_id", f"'{passage}' AS text")
+    found = {r.doc_id: (r.n_hit, r.n_items, len(r.item_ids)) for r in decontaminate.decontaminate(docs, items, keep=("doc_id",)).collect()}
+    assert found == {1: (30 * 40, 20_000, 20_000), 2: (0, 0, 0)}
+
+
 @pytest.mark.parametrize("limits", [{}, {"LIST_ROWS": 20}, {"ONE_BLOCK": 0}])
 def test_simhash(docs, none, monkeypatch, limits):
     for name, value in limits.items():
