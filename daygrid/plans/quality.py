@@ -99,9 +99,9 @@ class QualityGate:
     def run(self, checks: Sequence[Check]) -> list[tuple[str, str, int | None]]:
         """Run a suite in one job and record every failure in the suite's order.
 
-        A check that cannot run at all (say, an absent column) must not hide the others: if the one job fails by a
-        fault of a check, each check runs alone and the broken ones are recorded as failed, with ``None`` violations.
-        Any other failure, such as a lost cluster, is raised.
+        A check that cannot run at all (say, an absent column) must not hide the others. It is found by analysis alone,
+        recorded as failed with ``None`` violations, and the others still share one job. Only if that job too fails by a fault of a
+        check, which then lies in the data, does each check run alone. Any other failure, such as a lost cluster, is raised.
         """
         try:
             counted = {row["check_no"]: row["violations"] for row in report(checks).collect()}
@@ -125,8 +125,19 @@ class QualityGate:
         return results
 
     def _run_apart(self, checks: Sequence[Check]) -> tuple[dict[str, int], dict[str, str]]:
-        counted, errors = {}, {}
+        counted, errors, sound = {}, {}, []
         for check in checks:
+            try:
+                report([check])
+                sound.append(check)
+            except AnalysisException as failure:
+                errors[check.number] = str(failure).splitlines()[0]
+        if errors:
+            try:
+                return {row["check_no"]: row["violations"] for row in report(sound).collect()} if sound else {}, errors
+            except _OWN_FAULTS:
+                pass
+        for check in sound:
             try:
                 counted[check.number] = report([check]).first()["violations"]
             except _OWN_FAULTS as failure:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from daygrid.contracts import MAPPING_SCHEMA, PLACE_SCHEMA
 from daygrid.operators import checks
 from daygrid.operators.mapping import place_cell_mapping
+from daygrid.plans import quality
 from daygrid.plans.quality import Check, QualityGate, load_suite, mapping_suite, report
 
 PLACES = [
@@ -201,3 +202,21 @@ def test_duplicate_ids_are_worst_first(spark):
     order = (F.col("duplicate_count").desc(), F.col("place_id"))
     sample = Check("3", "Duplicates", checks.duplicate_ids(rows), order_by=order).sample(2).collect()
     assert [tuple(r) for r in sample] == [("b", 3), (None, 2)]
+
+
+def test_a_check_without_its_column_leaves_the_others_one_job(spark, monkeypatch):
+    collected = []
+    plain = quality.report
+
+    def counting(checks):
+        df = plain(checks)
+        collected.append(len(checks))
+        return df
+
+    monkeypatch.setattr(quality, "report", counting)
+    base = spark.range(5)
+    checks = [Check("1", "Fine", base, F.col("id") < 0), Check("2", "Absent", base, F.col("no_such") > 1), Check("3", "Failing", base, F.col("id") > 2)]
+    results = QualityGate().run(checks)
+    assert [(number, count) for number, _, count in results] == [("1", 0), ("2", None), ("3", 2)]
+    assert collected == [1, 1, 2]  # two looked at alone, by analysis, and then run together
+    assert QualityGate().run([Check("2", "Absent", base, F.col("no_such") > 1)])[0][2] is None
