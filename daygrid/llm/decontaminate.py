@@ -30,7 +30,7 @@ from daygrid.llm.common import computed, lower_ascii, neighbours, sha256_of, sma
 WORDS = 13
 SHINGLE = 5
 #: Bytes of places, windows and item ids that may be broadcast.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 64 << 20
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _NO_WORD_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
