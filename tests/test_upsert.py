@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from hypothesis import given, settings
@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StringType, StructField, StructType, TimestampType
 
 from daygrid.contracts import create_table
+from daygrid.operators import layout as layouts
 from daygrid.operators.upsert import PartitionBy, replace_table, upsert, upsert_table
+from workload.queries import QUERIES
 
 T0, T1, T2 = datetime(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 3, 1)
 TARGET = StructType(
@@ -187,3 +189,26 @@ def test_the_default_layout_has_buckets(spark):
     upsert_table(spark, delivered(spark), table, run_ts=T1)
     after = {tuple(r) for r in spark.table(table).drop("month", "bucket").collect()}
     assert after == {row if row[0] != "b" else (*row[:4], T0, T1) for row in EXPECTED}
+
+
+@pytest.mark.parametrize("rows, clusters", [(0, 8), (8_000_000, 8), (8_000_001, 9), (192_000_000, 192)])
+def test_clusters_follow_the_rows(rows, clusters):
+    layout = PartitionBy.clustered_for(rows)
+    assert layout.clustering == ("cell_key", clusters) and list(layout.columns) == ["month"]
+
+
+def test_no_task_of_the_stored_upsert_grows_with_the_table(spark, tmp_path, monkeypatch):
+    """Ten times the rows of eight full clusters: ten times as many clusters, each about as full."""
+    monkeypatch.setattr(layouts, "CLUSTER_ROWS", 20)
+    begin, days = datetime(1999, 5, 1), 4
+    lines = [(k, k, d, 1.0 * d, 10.0 * d, "A", "F", begin + timedelta(days=40 * d)) for k in range(400) for d in range(days)]
+    schema = "l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    after = QUERIES["obs_upsert_table"](spark, str(tmp_path))
+    assert after.count() == 400 * days
+    bucket = F.regexp_extract(F.input_file_name(), r"_(\d{5})\.c", 1)
+    held = [r["count"] for r in after.groupBy(bucket.alias("bucket")).count().collect()]
+    assert len(held) > 8 and max(held) < 400 * days / 8 / 2
+    columns = ["cell_key", "date", "quantity", "flag", "line_no", "created_at", "updated_at"]
+    expected = QUERIES["obs_upsert"](spark, str(tmp_path))
+    assert sorted(map(str, after.select(columns).collect())) == sorted(map(str, expected.select(columns).collect()))

@@ -17,7 +17,7 @@ from daygrid.functions.geo import Grid, great_circle_km
 from daygrid.operators import checks, gaps, mapping, outcomes
 from daygrid.operators.day_index import DayIndex
 from daygrid.operators.layout import PartitionBy
-from daygrid.operators.upsert import replace_partitions, upsert, upsert_table
+from daygrid.operators.upsert import KEYS, replace_partitions, upsert, upsert_table
 from daygrid.plans import load_job, quality
 from daygrid.plans.mapping_job import build_mapping_table
 from daygrid.session import new_work_folder
@@ -450,7 +450,9 @@ def obs_upsert_rerun(spark, folder):
 def obs_upsert_table(spark, folder):
     """The same upsert through a stored table by year, clustered by the key: two loads, then the table."""
     target, source = for_spark(spark, folder, "upsert_target"), for_spark(spark, folder, "upsert_source")
-    by_year = PartitionBy.clustered(8, _by_year())
+    # What the table holds in the end at most; only the keys are read for it.
+    rows = target.select(*KEYS).unionAll(source.select(*KEYS)).count()
+    by_year = PartitionBy.clustered_for(rows, _by_year())
     table = f"upserted_{uuid.uuid4().hex}"
     location = new_work_folder(spark, "table")
     create_table(spark, table, target.schema, partition_by=by_year.schema, location=location, clustering=by_year.clustering)
