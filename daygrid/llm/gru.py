@@ -60,21 +60,25 @@ class Model:
     def class_of(self, words: np.ndarray) -> np.ndarray:
         return np.where(words < self.frequent, words // self.size, words - self.frequent + self.heads)
 
-    def step(self, p: Parameters, inputs: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The next state, and what backpropagation needs."""
+    def gates(self, p: Parameters) -> np.ndarray:
+        """``into`` with the two gates and the new state apart, so that each is one block of memory."""
+        return np.ascontiguousarray(p["into"].reshape(-1, 3, self.state).transpose(1, 0, 2))
+
+    def step(self, p: Parameters, into: np.ndarray, inputs: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The next state, and what backpropagation needs; ``into`` as ``gates`` gives it."""
         n = self.state
-        x, again = np.take(p["into"], inputs, axis=0), h @ p["again"]
-        gates = x[:, : 2 * n]
-        gates += again[:, : 2 * n]
-        np.negative(gates, out=gates)
-        np.exp(gates, out=gates)
-        gates += 1
-        np.reciprocal(gates, out=gates)
-        z, r = gates[:, :n], gates[:, n:]
-        inner = again[:, 2 * n :]
-        inner += p["shift"]
-        new = r * inner
-        new += x[:, 2 * n :]
+        x, again = np.take(into, inputs, axis=1), h @ p["again"]
+        both = x[:2]
+        both[0] += again[:, :n]
+        both[1] += again[:, n : 2 * n]
+        np.negative(both, out=both)
+        np.exp(both, out=both)
+        both += 1
+        np.reciprocal(both, out=both)
+        z, r = both
+        inner = again[:, 2 * n :] + p["shift"]
+        new = x[2]
+        new += r * inner
         np.tanh(new, out=new)
         after = h - new
         after *= z
@@ -89,43 +93,66 @@ class Model:
         return places[by], np.searchsorted(heads[by], np.arange(self.heads + 1))
 
     @staticmethod
-    def _log_share(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def _log_share(logits: np.ndarray, at: np.ndarray, tame: bool) -> np.ndarray:
         """Logarithms of the softmax at the places ``at``; ``logits`` is used up."""
+        if not tame:
+            np.minimum(logits, 80, out=logits)  # beyond, float32 overflows
         own = logits[np.arange(len(at)), at]
-        np.minimum(logits, 80, out=logits)  # beyond, float32 overflows
         np.exp(logits, out=logits)
-        return np.minimum(own, 80) - np.log(logits @ np.ones(logits.shape[1], dtype=logits.dtype))
+        return own - np.log(logits @ np.ones(logits.shape[1], dtype=logits.dtype))
 
-    def logs(self, p: Parameters, states: np.ndarray, words: np.ndarray) -> np.ndarray:
+    def logs(self, p: Parameters, states: np.ndarray, words: np.ndarray, room: Room | None = None) -> np.ndarray:
         """Natural logarithms of P(class) and, for frequent words, P(word | class) at each state."""
-        logits = states @ p["to_class"]
-        logits += p["class_bias"]
-        out = self._log_share(logits, self.class_of(words))
+        kind, room = np.result_type(states, p["to_class"]), room or Room()
+        classes, out = self.class_of(words), np.empty(len(words), dtype=kind)
+        tame = self._tame(p["to_class"], p["class_bias"])
+        # One product for all: a cut one may round its edges in another way.
+        logits = np.matmul(states, p["to_class"], out=room("logits", (len(words), self.classes), kind))
+        for lo in range(0, len(words), CHUNK):  # small enough for the cache
+            cut = slice(lo, lo + CHUNK)
+            logits[cut] += p["class_bias"]
+            out[cut] = self._log_share(logits[cut], classes[cut], tame)
         places, cuts = self._by_head(words)
-        for c in range(self.heads):
-            own = places[cuts[c] : cuts[c + 1]]
-            if len(own):
-                within = states[own] @ p["to_word"][c]
+        inside, states = words[places] % self.size, states[places]
+        tame = self._tame(p["to_word"], p["word_bias"])
+        for c, cut in enumerate(map(slice, cuts[:-1], cuts[1:])):
+            if cut.start < cut.stop:
+                within = states[cut] @ p["to_word"][c]
                 within += p["word_bias"][c]
-                out[own] += self._log_share(within, words[own] % self.size)
+                out[places[cut]] += self._log_share(within, inside[cut], tame)
         return out
 
-    def gradients(self, p: Parameters, inputs: np.ndarray, targets: np.ndarray, there: np.ndarray, h: np.ndarray) -> tuple[Parameters, np.ndarray, float]:
-        """Backpropagation through one window (time, row) from state ``h``; ``there`` marks words that exist."""
-        steps, rows = inputs.shape
-        kept, states = [], np.empty((steps, rows, self.state), dtype=h.dtype)
+    @staticmethod
+    def _tame(weights: np.ndarray, bias: np.ndarray) -> bool:
+        """Whether no state, all of whose places are within -1 and 1, can make a logit that must be cut off."""
+        return bool((bias + np.abs(weights).sum(axis=-2)).max() < 80)
+
+    def gradients(
+        self, p: Parameters, inputs: np.ndarray, targets: np.ndarray, there: np.ndarray, h: np.ndarray, room: Room | None = None
+    ) -> tuple[Parameters, np.ndarray, float]:
+        """Backpropagation through one window (time, row) from state ``h``; ``there`` marks words that exist.
+
+        Training carries rounding on, so the order of sums and products decides the last digits of every score.
+        """
+        (steps, rows), n, kind = inputs.shape, self.state, h.dtype
+        room = room or Room()
+        into = self.gates(p)
+        kept, states = [], room("states", (steps + 1, rows, n), kind)
+        states[0] = h
         for t in range(steps):
-            new_h, *rest = self.step(p, inputs[t], h)
-            kept.append((h, *rest))
-            h = states[t] = np.where(there[t][:, None], new_h, h)
-        flat, words, real = states.reshape(-1, self.state), targets.ravel(), there.ravel()
-        g = {name: np.zeros(shape, dtype=h.dtype) for name, shape in self.shapes().items()}
+            new_h, *rest = self.step(p, into, inputs[t], states[t])
+            kept.append(rest)
+            states[t + 1] = np.where(there[t][:, None], new_h, states[t])
+        h = states[steps].copy()
+        flat, words, real = states[1:].reshape(-1, n), targets.ravel(), there.ravel()
+        g = {name: np.zeros(shape, dtype=kind) for name, shape in self.shapes().items()}
         share = 1.0 / max(int(real.sum()), 1)
         classes, loss = self.class_of(words), 0.0
-        back = np.empty_like(flat)
+        weight = (real * share).astype(kind)[:, None]
+        back = room("back", flat.shape, kind)
         for lo in range(0, len(words), CHUNK):  # small enough for the cache
             cut = slice(lo, lo + CHUNK)
-            probability = flat[cut] @ p["to_class"]
+            probability = np.matmul(flat[cut], p["to_class"], out=room("probability", (len(words[cut]), self.classes), kind))
             probability += p["class_bias"]
             probability -= probability.max(axis=1, keepdims=True)
             np.exp(probability, out=probability)
@@ -133,47 +160,77 @@ class Model:
             own = np.arange(len(probability)), classes[cut]
             loss -= float(np.log(probability[own] + 1e-30)[real[cut]].sum())
             probability[own] -= 1
-            probability *= (real[cut] * share).astype(probability.dtype)[:, None]
+            probability *= weight[cut]
             g["to_class"] += flat[cut].T @ probability
             g["class_bias"] += probability.sum(axis=0)
-            back[cut] = probability @ p["to_class"].T
+            np.matmul(probability, p["to_class"].T, out=back[cut])
         places, cuts = self._by_head(np.where(real, words, self.frequent))
-        for c in range(self.heads):
-            own = places[cuts[c] : cuts[c + 1]]
-            if not len(own):
+        inside, by_head, back_by_head = words[places] % self.size, flat[places], np.empty((len(places), n), dtype=kind)
+        for c, cut in enumerate(map(slice, cuts[:-1], cuts[1:])):
+            if cut.start == cut.stop:
                 continue
-            within = flat[own] @ p["to_word"][c] + p["word_bias"][c]
+            mine = np.arange(cut.stop - cut.start), inside[cut]
+            within = by_head[cut] @ p["to_word"][c]
+            within += p["word_bias"][c]
             within -= within.max(axis=1, keepdims=True)
-            within = np.exp(within)
+            np.exp(within, out=within)
             within /= within.sum(axis=1, keepdims=True)
-            mine = np.arange(len(own)), words[own] % self.size
             loss -= float(np.log(within[mine] + 1e-30).sum())
             within[mine] -= 1
             within *= within.dtype.type(share)
-            g["to_word"][c], g["word_bias"][c] = flat[own].T @ within, within.sum(axis=0)
-            back[own] += within @ p["to_word"][c].T
-        back = back.reshape(states.shape)
-        carried = np.zeros((rows, self.state), dtype=h.dtype)
-        into = np.empty((steps, rows, 3 * self.state), dtype=h.dtype)
+            g["to_word"][c], g["word_bias"][c] = by_head[cut].T @ within, within.sum(axis=0)
+            np.matmul(within, p["to_word"][c].T, out=back_by_head[cut])
+        back[places] += back_by_head
+        back = back.reshape(steps, rows, n)
+        carried = np.zeros((rows, n), dtype=kind)
+        d_into, d_again = room("into", (steps, rows, 3 * n), kind), room("again", (rows, 3 * n), kind)
         for t in range(steps - 1, -1, -1):
-            before, z, r, inner, new = kept[t]
+            (z, r, inner, new), before = kept[t], states[t]
             whole = back[t] + carried
             total = whole * there[t][:, None]
-            d_new = total * (1 - z) * (1 - new * new)
-            d_z = total * (before - new) * z * (1 - z)
-            d_r = d_new * inner * r * (1 - r)
-            d_again = np.concatenate((d_z, d_r, d_new * r), axis=1)
-            into[t] = np.concatenate((d_z, d_r, d_new), axis=1)
+            rest = 1 - z
+            d_new = total * rest
+            square = new * new
+            d_new *= np.subtract(1, square, out=square)
+            d_z = before - new
+            d_z *= total
+            d_z *= z
+            d_z *= rest
+            d_r = d_new * inner
+            d_r *= r
+            d_r *= np.subtract(1, r, out=rest)
+            d_inner = d_new * r
+            for k, d in enumerate((d_z, d_r, d_new)):
+                d_into[t, :, k * n : (k + 1) * n] = d
+            d_again[:, : 2 * n] = d_into[t, :, : 2 * n]
+            d_again[:, 2 * n :] = d_inner
             g["again"] += before.T @ d_again
-            g["shift"] += d_again[:, 2 * self.state :].sum(axis=0)
-            carried = (whole - total) + total * z + d_again @ p["again"].T
+            g["shift"] += d_inner.sum(axis=0)
+            whole -= total
+            total *= z
+            whole += total
+            whole += d_again @ p["again"].T
+            carried = whole
         which = inputs.ravel()
-        by = np.argsort(which, kind="stable")
+        by = np.argsort(which.astype(np.int16) if self.start < 1 << 15 else which, kind="stable")
         first = np.flatnonzero(np.diff(which[by], prepend=-1))
-        g["into"][which[by[first]]] = np.add.reduceat(into.reshape(-1, 3 * self.state)[by], first, axis=0)
+        g["into"][which[by[first]]] = np.add.reduceat(d_into.reshape(-1, 3 * n)[by], first, axis=0)
         return g, h, loss
 
 
+class Room:
+    """Arrays that one window after the other uses, by name: fresh memory costs more than the work on it."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple[int, ...], kind: np.dtype) -> np.ndarray:
+        held, size = self.held.get(name), int(np.prod(shape))
+        if held is None or held.size < size or held.dtype != kind:
+            held = self.held[name] = np.empty(size, dtype=kind)
+        return held[:size].reshape(shape)
+
+
 class Adam:
     """Steps of a size that follows each weight's recent gradients."""
 
@@ -201,7 +258,7 @@ def train(model: Model, p: Parameters, segments: list[np.ndarray], window: int,
 
     The state is carried from window to window, its gradient is not.
     """
-    order = np.random.default_rng(11).permutation(len(segments))
+    order, room = np.random.default_rng(11).permutation(len(segments)), Room()
     for at in range(0, len(order), rows):
         some = [segments[i] for i in order[at : at + rows]]
         longest = max(map(len, some))
@@ -213,7 +270,7 @@ def train(model: Model, p: Parameters, segments: list[np.ndarray], window: int,
         h = np.zeros((len(some), model.state), dtype=np.float32)
         for t in range(0, longest - 1, window):
             cut = slice(t, min(t + window, longest - 1))
-            g, h, _ = model.gradients(p, words[:-1][cut], targets[cut], there[cut], h)
+            g, h, _ = model.gradients(p, words[:-1][cut], targets[cut], there[cut], h, room)
             adam(p, g)
 
 
@@ -221,6 +278,7 @@ def score(model: Model, p: Parameters, texts: list[np.ndarray], window: int = 32
     """Natural log-likelihood of every text (numbers of its words); the state is carried through the whole text."""
     total = np.zeros(len(texts))
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    into, room = model.gates(p), Room()
     for at in range(0, len(order), rows):
         some = order[at : at + rows]
         sizes = np.array([len(texts[i]) for i in some])
@@ -233,11 +291,11 @@ def score(model: Model, p: Parameters, texts: list[np.ndarray], window: int = 32
             for u in range(t, min(t + window, int(sizes[0]))):
                 # Texts are sorted by length: those that still go on come first.
                 n = int(np.searchsorted(-sizes, -u, "left"))
-                h = model.step(p, inputs[:n], h[:n])[0]
+                h = model.step(p, into, inputs[:n], h[:n])[0]
                 inputs = words[begin[:n] + u]
                 states.append(h)
                 targets.append(inputs)
                 who.append(np.arange(n))
-            logs = model.logs(p, np.concatenate(states), np.concatenate(targets))
+            logs = model.logs(p, np.concatenate(states), np.concatenate(targets), room)
             total[some] += np.bincount(np.concatenate(who), logs, minlength=len(some))
     return total

@@ -47,8 +47,19 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
 
 
-def _ending(word: bytes, endings: int) -> int:
-    return zlib.crc32(word[-2:]) % endings
+class _Numbers(dict):
+    """Numbers of the frequent words; any other word has its ending's, and endings are few enough to be kept."""
+
+    def __init__(self, words: list[bytes], model: gru.Model):
+        super().__init__(zip(words, range(len(words))))
+        self.first, self.kinds = model.frequent, model.endings
+        self.endings: dict[bytes, int] = {}
+
+    def __missing__(self, word: bytes) -> int:
+        end = word[-2:]
+        if (number := self.endings.get(end)) is None:
+            number = self.endings[end] = self.first + zlib.crc32(end) % self.kinds
+        return number
 
 
 def _gather(docs: DataFrame) -> DataFrame:
@@ -126,19 +137,21 @@ class Counts:
 def fit(docs: DataFrame, counts: Counts) -> tuple[gru.Model, gru.Parameters]:
     """The model, trained on all texts of ``docs`` (key, held_out, text) that are not held out."""
     model, parameters = counts.model()
-    number = {word: i for i, word in enumerate(counts.words)}
+    frequent = counts.words
 
     def learner(flat: np.ndarray, turn: int):
         def segments(batches: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+            number = _Numbers(frequent, model).__getitem__
             for batch in batches:
                 for key, held_out, text in zip(batch["key"], batch["held_out"], batch["text"]):
                     if held_out:
                         continue
-                    # The input before a text's first word is a token of its own.
-                    ids = [model.start, *[number[w] if w in number else model.frequent + _ending(w, ENDINGS) for w in tokens(text)]]
-                    for at in range(0, len(ids) - 1, SEGMENT):
+                    words = tokens(text)
+                    for at in range(0, len(words), SEGMENT):
                         if zlib.crc32(b"%d:%d" % (key, at)) % ROUNDS == turn:
-                            yield np.array(ids[at : at + SEGMENT + 1])
+                            # The input before a text's first word is a token of its own.
+                            before = [number(words[at - 1])] if at else [model.start]
+                            yield np.array([*before, *map(number, words[at : at + SEGMENT])])
 
         def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             p, adam, held, words, more = model.unpack(flat), gru.Adam(), [], 0, segments(batches)
