@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from daygrid.llm import common, decontaminate, html, lm, mixing, passages, pii, quality, registry, secrets, simhash, suffix
+from daygrid.session import shared_folder
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, fp string, `_words` string, copy int"
@@ -206,6 +209,62 @@ def test_passages_of_other_holders_and_fuzzy_ones(spark):
     assert {frozenset((42 + k, 62 + k)) for k in range(20)} <= pairs
 
 
+def varied(draw, words):
+    """``words`` with some replaced, left out or put in."""
+    words = list(words)
+    for _ in range(draw.randint(0, 12)):
+        k = draw.randrange(len(words))
+        words[k : k + draw.randint(0, 2)] = [draw.choice(words)] * draw.randint(0, 3)
+    return words or ["word"]
+
+
+def test_slices_matched_together():
+    import pyarrow as pa
+
+    draw, rows, expected = random.Random(9), [], {}
+    for source in range(12):
+        base = prose(400 + source, draw.randint(30, 150)).split()
+        text = " ".join(prose(500 + source, 20).split() + varied(draw, base) * draw.randint(1, 4) + ["same"] * draw.choice([0, 70]))
+        rows.append((0, str(source), source, 0, text.encode()))
+        for n in range(15):
+            words = prose(600 + n, 10).split() + varied(draw, base) * draw.randint(1, 2) + ["Same"] * draw.choice([0, 0, 50])
+            rows.append((1, f"{source}-{n}", 100 + n, 7, " ".join(words).encode()))
+            expected[f"{source}-{n}", str(source)] = {(a + 7, b + 7, *rest) for a, b, *rest in passages_between(" ".join(words), text)}
+    names = ["kind", "id", "key", "at", "body"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+    found = {}
+    # The second source's text and its slices come in two batches.
+    for part in passages._match(passages.SHINGLE, passages.WORDS, passages.SIMILARITY)(iter([batch.slice(0, 20), batch.slice(20)])):
+        for r in part.to_pylist():
+            columns = [np.frombuffer(r[c], np.float64 if c == "similarity" else np.int32).tolist() for c in passages._FOUND]
+            found.setdefault((r["id"], r["source_id"]), set()).update(zip(*columns))
+    assert found == {k: v for k, v in expected.items() if v} and len(found) > 50
+
+
+def test_sorted_hashes_travel_as_differences():
+    for values in ([5], [0, 1, 300, 1 << 63, (1 << 64) - 1], list(range(7, 9000, 3))):
+        values = np.array(values, dtype=np.uint64)
+        assert (passages._unpacked(passages._packed(values)) == values).all()
+    assert len(passages._packed(np.arange(1000, dtype=np.uint64))) < 1010
+
+
+def test_passages_by_blocks(spark, docs, monkeypatch):
+    whole = sorted(map(tuple, passages.shared_passages(docs).collect()), key=repr)
+    # Documents in some hundred blocks, most of them on their own.
+    monkeypatch.setattr(passages, "BLOCK", 1000)
+    assert sorted(map(tuple, passages.shared_passages(docs).collect()), key=repr) == whole
+    assert len(set(whole)) == len(whole)
+
+
+def test_passages_leave_only_the_tables_of_the_result(spark, docs):
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    found = passages.shared_passages(docs)
+    left = {name.rpartition("-")[0] for name in set(os.listdir(folder)) - before if os.listdir(f"{folder}/{name}")}
+    assert {name for name in left if not name.startswith("llm-passages")} <= {"llm-repeated", "llm-pairs"}
+    assert found.count() == len(found.collect())
+
+
 def test_surrogates(docs, none):
     found = {r.doc_id: r for r in pii.replace(docs, keep=("doc_id",)).collect() if r.doc_id is not None}
     assert len(found[30].entities) == 3 and "a.b@mail1" not in found[30].text and "555-6789" not in found[30].text
