@@ -221,24 +221,31 @@ def varied(draw, words):
 def test_slices_matched_together():
     import pyarrow as pa
 
-    draw, rows, expected = random.Random(9), [], {}
+    draw, texts, slices, expected = random.Random(9), [], [], {}
+    none = np.zeros(0)
     for source in range(12):
         base = prose(400 + source, draw.randint(30, 150)).split()
         text = " ".join(prose(500 + source, 20).split() + varied(draw, base) * draw.randint(1, 4) + ["same"] * draw.choice([0, 70]))
-        rows.append((0, str(source), source, 0, text.encode()))
+        texts.append((source // 6, 0, str(source), 50 - source, text.encode(), none, none, none, none))
         for n in range(15):
             words = prose(600 + n, 10).split() + varied(draw, base) * draw.randint(1, 2) + ["Same"] * draw.choice([0, 0, 50])
-            rows.append((1, f"{source}-{n}", 100 + n, 7, " ".join(words).encode()))
-            expected[f"{source}-{n}", str(source)] = {(a + 7, b + 7, *rest) for a, b, *rest in passages_between(" ".join(words), text)}
-    names = ["kind", "id", "key", "at", "body"]
+            x, y = draw.randint(0, 12), len(words) - draw.randint(0, 5)
+            # Two slices of a document, one of which is all of it; they begin 7 words further on in the document.
+            part = (np.array([50 - source] * 2), np.array([0, x]), np.array([len(words), y]), np.array([7, x + 7]))
+            slices.append((source // 6, 1, f"{source}-{n}", 100 + n, " ".join(words).encode(), *part))
+            found = [(a + 7 + k, b + 7 + k, *rest) for k, part in ((0, words), (x, words[x:y])) for a, b, *rest in passages_between(" ".join(part), text)]
+            expected[f"{source}-{n}", str(source)] = sorted(found)
+    names = ["unit", "kind", "id", "key", "body", "first", "begin", "end", "place"]
+    rows = sorted(texts + slices, key=lambda r: r[:2])
+    rows = [(*r[:5], r[5].astype(np.int64).tobytes(), *(c.astype(np.int32).tobytes() for c in r[6:])) for r in rows]
     batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
     found = {}
-    # The second source's text and its slices come in two batches.
-    for part in passages._match(passages.SHINGLE, passages.WORDS, passages.SIMILARITY)(iter([batch.slice(0, 20), batch.slice(20)])):
+    # The first unit's slices come in two batches.
+    for part in passages._match(passages.SHINGLE, passages.WORDS, passages.SIMILARITY)(iter([batch.slice(0, 30), batch.slice(30)])):
         for r in part.to_pylist():
             columns = [np.frombuffer(r[c], np.float64 if c == "similarity" else np.int32).tolist() for c in passages._FOUND]
-            found.setdefault((r["id"], r["source_id"]), set()).update(zip(*columns))
-    assert found == {k: v for k, v in expected.items() if v} and len(found) > 50
+            found.setdefault((r["id"], r["source_id"]), []).extend(zip(*columns))
+    assert {k: sorted(v) for k, v in found.items()} == {k: v for k, v in expected.items() if v} and len(found) > 50
 
 
 def test_sorted_hashes_travel_as_differences():
